@@ -29,10 +29,10 @@ def values(spark, rows, schema, *columns):
 
 def test_column_names(spark):
     cases = {"NIVEL FORMACIÓN": "NIVEL_FORMACION", "CANTÓN": "CANTON",
-             "  campo  amplio ": "CAMPO_AMPLIO", "¿a½?": "A1_2"}
-    assert {k: column_name(k) for k in cases} == {**cases, "¿a½?": column_name("¿a½?")}
+             "  campo  amplio ": "CAMPO_AMPLIO", "¿a½?": "A12"}
+    assert {k: column_name(k) for k in cases} == cases
     found = values(spark, [(k,) for k in cases], "s string", "s", column_name_expr(F.col("s")))
-    assert found == [(k, column_name(k)) for k in cases]
+    assert found == list(cases.items())
 
 
 def test_colliding_columns():

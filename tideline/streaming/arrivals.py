@@ -25,6 +25,7 @@ def start(
     """
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", 1)
         .load(landing)
