@@ -12,7 +12,12 @@ _JSON_SHORT = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r",
 
 
 def key_part(value: Column) -> Column:
-    return F.coalesce(F.btrim(value.cast("string"), F.lit(_SPACES)), F.lit(""))
+    """Trimmed text, the empty string for NULL."""
+    text = value.cast("string")
+    # Visible ASCII at both ends, as normalised values have, leaves nothing to trim.
+    clean = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    trimmed = F.when(clean, text).otherwise(F.btrim(text, F.lit(_SPACES)))
+    return F.coalesce(trimmed, F.lit(""))
 
 
 def natural_key(*parts: Column) -> Column:

@@ -9,8 +9,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace that Python's str.split() breaks on, restricted to ASCII.
-ASCII_SPACE = r"[\t-\r\x1c-\x20]+"
+# Runs of ASCII whitespace, as Python's str.split() knows it, other than a lone space.
+_SPACE_RUN = r"[\t-\r\x1c-\x1f][\t-\r\x1c-\x20]*| [\t-\r\x1c-\x20]+"
 
 
 def _ascii_of(char: str) -> str:
@@ -38,32 +38,27 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), wide
 
 
-def _char_class(chars) -> str:
-    return "[" + "".join(rf"\x{{{ord(c):x}}}" for c in chars) + "]"
-
-
 def _expand_wide(text: Column) -> Column:
     """Replace characters that fold to several ASCII characters (½ to 12, … to ...).
 
-    Only the distinct such characters present in a value are visited.
+    Only the distinct non-ASCII characters of a value are looked up.
     """
     _, _, wide = _fold_tables()
-    chars = _char_class(wide)
     known, meanings = F.lit("".join(wide)), F.split(F.lit("\n".join(wide.values())), "\n")
-    present = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({chars})"), F.lit(1)))
-    expanded = F.aggregate(
+    foreign = F.array_distinct(F.split(F.regexp_replace(text, r"[\x00-\x7F]+", ""), ""))
+    present = F.filter(foreign, lambda c: (c != "") & (F.instr(known, c) > 0))
+    return F.aggregate(
         present,
         text,
         lambda acc, c: F.replace(acc, c, F.element_at(meanings, F.instr(known, c))),
     )
-    return F.when(F.rlike(text, F.lit(chars)), expanded).otherwise(text)
 
 
 def to_ascii(text: Column) -> Column:
     """Compatibility-decompose and keep the ASCII characters."""
     source, target, _ = _fold_tables()
     folded = F.regexp_replace(
-        F.translate(_expand_wide(text), source, target), r"[^\x00-\x7F]", ""
+        F.translate(_expand_wide(text), source, target), r"[^\x00-\x7F]+", ""
     )
     # A value whose byte and character counts agree is ASCII already.
     return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
@@ -71,7 +66,7 @@ def to_ascii(text: Column) -> Column:
 
 def fold_text(text: Column) -> Column:
     """Accent-free, lower-case, single-spaced text; NULL stays NULL."""
-    squeezed = F.regexp_replace(F.lower(to_ascii(text)), ASCII_SPACE, " ")
+    squeezed = F.regexp_replace(F.lower(to_ascii(text)), _SPACE_RUN, " ")
     return F.trim(squeezed)
 
 

@@ -21,6 +21,7 @@ from ..operators import (
     constraints, dedup, dimensions, diversity, filters, history, ledger, marts, monitoring,
     quality, reshape, summary, territory,
 )
+from ..session import spread, stored
 from ..sources import files, geojson, offers, sample
 from ..sources.tables import read_view
 
@@ -252,14 +253,14 @@ def status_history(spark, sf):
 def fold_documents(spark, sf):
     """Accent-folded and normalised text of every document, whole."""
     text = F.col("text")
-    return sample.table(spark, sf, "documents").select(
+    return spread(sample.table(spark, sf, "documents"), "doc_id").select(
         "doc_id", fold_text(text).alias("folded"), normalize_value(F.col("source")).alias("origin")
     )
 
 
 @query
 def fold_conversations(spark, sf):
-    return sample.table(spark, sf, "conversations").select(
+    return spread(sample.table(spark, sf, "conversations"), "conv_id", "turn").select(
         "conv_id", "turn", normalize_value(F.col("role")).alias("role_norm"),
         normalize_value(F.col("text")).alias("folded"),
     )
@@ -442,7 +443,13 @@ def scd2_merge(spark, sf):
 
 def _checked(spark, sf) -> DataFrame:
     matched = territory.match_territory(_spoiled(spark, sf), sample.catalog(spark, sf))
-    return sample.keyed(matched)
+    # Several rules read these rows.
+    return stored(
+        sample.keyed(matched).select(
+            "file_id", "natural_key", "row_num", "row_hash", "status_norm", "provider", "program",
+            "province", "canton", "province_norm", "canton_norm",
+        )
+    )
 
 
 def _official(spark, sf) -> DataFrame:

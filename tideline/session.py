@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once as a Parquet table in the scratch folder, for rows read several times.
+
+    Later reads fetch only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark).rstrip('/')}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """A file scan with enough partitions for all cores.
+
+    Large data has far more splits than there are cores and is left as it is. A few files, or
+    one that cannot be split, would leave the work on them to a few tasks.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import natural_key, row_hash
 from ..functions.text import normalize_value
 from ..operators.skew import lookup_join
+from ..session import spread
 
 # Together these order all rows; the first two columns alone repeat.
 ORDER = (
@@ -92,7 +93,7 @@ def offers(spark: SparkSession, folder: str) -> DataFrame:
         ).cast("timestamp_ntz").alias("run_ts"),
         normalize_value(F.col("o_orderstatus")).alias("status_norm"),
     )
-    lines = table(spark, folder, "lineitem").select(
+    lines = spread(table(spark, folder, "lineitem"), "l_orderkey").select(
         *ORDER, F.col("l_returnflag").alias("modality"),
         normalize_value(F.col("l_returnflag")).alias("modality_norm"),
         # Two digits for the line leave room, and the row number stays increasing.
