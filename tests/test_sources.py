@@ -27,6 +27,14 @@ def test_plain_file(spark, tmp_path):
     assert found[2].asDict() == {"row_num": 3, **dict(zip(NEUTRAL, record(2)))}
 
 
+def test_missing_texts(spark, tmp_path):
+    cells = ["N/A", "", "null", "Nadie", "NaN", "na", "None", "x", "#N/A", "NULL"]
+    path = write(tmp_path / "n.csv", [",".join(REQUIRED), ",".join(cells), ",".join(["NA"] * 10)])
+    found = offers.read_offers(spark, path).collect()
+    assert [tuple(r) for r in found] == [
+        (1, None, None, None, "Nadie", None, "na", None, "x", None, None)]
+
+
 def test_header_further_down(spark, tmp_path):
     untidy = [f" {c.replace('_', ' ').lower()} " for c in REQUIRED]
     path = write(tmp_path / "b.csv", [

@@ -21,6 +21,12 @@ SOURCE_COLUMNS = {
 }
 REQUIRED = tuple(SOURCE_COLUMNS)
 
+# Cell texts that source files use for a missing value.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # Accepted run and service states.
 RUN_STATES = ("success", "failed", "skipped", "running")
 SERVICE_STATES = ("up", "down")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..contract import PROGRAM_KEY, PROVIDER_KEY, TERRITORY_KEY
 from ..functions.keys import surrogate_id
-from .dedup import keep_first
+from .skew import lookup_join
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -21,8 +21,16 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 
 def first_seen(staging: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """The first row of the file per dimension key."""
-    return keep_first(staging.select(*columns, "row_num"), keys, ["row_num"]).drop("row_num")
+    """The first row of the file per dimension key.
+
+    The least row number per key is a plain hash aggregate; its few results then pick their rows
+    by number, which is unique in a file. Sorting all rows by key would cost far more.
+    """
+    firsts = staging.groupBy(*keys).agg(F.min("row_num").alias("row_num")).select("row_num")
+    picked = lookup_join(
+        staging.select(*columns, "row_num"), firsts, ["row_num"], "inner", skewed=False
+    )
+    return picked.drop("row_num")
 
 
 def upsert(

@@ -98,3 +98,14 @@ def load_profile(rows: DataFrame, by: str = "file_id") -> DataFrame:
             F.struct("program_norm", "field_norm", "level_norm", "modality_norm")
         ).alias("programs"),
     )
+
+
+def dimension_counts(rows: DataFrame, by: str = "file_id") -> DataFrame:
+    """Distinct dimension members per file; keys with NULL parts are members too."""
+    return rows.groupBy(by).agg(
+        F.countDistinct(F.struct("provider_norm")).alias("providers"),
+        F.countDistinct(F.struct("province_norm", "canton_norm")).alias("territories"),
+        F.countDistinct(
+            F.struct("program_norm", "field_norm", "level_norm", "modality_norm")
+        ).alias("programs"),
+    )

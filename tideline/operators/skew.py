@@ -32,11 +32,14 @@ def rows_of_repeated_keys(df: DataFrame, keys: Sequence[str], row_id: Column) ->
     return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join of ``rows`` to a lookup with one row per key, whatever the key skew.
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", skewed: bool = True
+) -> DataFrame:
+    """Join of ``rows`` to a lookup with one row per key, whatever the key skew.
 
     The lookup is computed once and measured. A small one is broadcast; a larger one is repeated
-    per salt so that the rows of a hot key spread over ``SALTS`` tasks.
+    per salt so that the rows of a hot key spread over ``SALTS`` tasks. Where keys are known to
+    be unique among the rows too, ``skewed=False`` joins a large lookup as it is.
     """
     on = list(on)
     lookup = checkpointed(lookup)
@@ -46,9 +49,11 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFr
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
     total = lookup.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
     if total <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(lookup), on, "left")
+        return rows.join(F.broadcast(lookup), on, how)
+    if not skewed:
+        return rows.join(lookup, on, how)
     salted = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
     )
     spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread, [*on, "_salt"], "left").drop("_salt")
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")

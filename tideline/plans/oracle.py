@@ -11,7 +11,8 @@ base AS (
     r_name AS province, n_name AS canton, o_orderstatus AS status, o_orderpriority AS o_priority,
     CAST(year(o_orderdate) AS VARCHAR) AS file_id,
     make_timestamp(year(o_orderdate), 12, 31, 0, 0, 0) AS run_ts,
-    l_orderkey * 100 + l_linenumber AS row_num
+    (l_orderkey * 10 + l_linenumber) * 1000000000
+      + CAST(round(l_extendedprice * 100) AS BIGINT) % 1000000000 AS row_num
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
     JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey)
@@ -576,6 +577,24 @@ ORACLE: dict[str, str] = {
         program AS "NOMBRE_CARRERA", field AS "CAMPO_AMPLIO", level AS "NIVEL_FORMACION",
         modality AS "MODALIDAD", province AS "PROVINCIA", canton AS "CANTON", status AS "ESTADO"
         FROM base""",
+    "dimension_counts": f"""WITH RECURSIVE {_OFFERS}, {_SPOILED}, {_MATCH} SELECT file_id,
+        count(DISTINCT coalesce(provider, '')) AS providers,
+        count(DISTINCT (province_norm, canton_norm)) AS territories,
+        count(DISTINCT (program, field, level, modality)) AS programs FROM matched GROUP BY 1""",
+    "dq_report": f"""WITH {_OFFERS}, {_PLAIN}, {_PER_KEY} SELECT
+        '{{"file_id":"' || file_id || '","file_path":"offers","run_id":"' || file_id
+        || '","generated_at":"2003-01-01T00:00:00.000000Z","metrics":{{"conflicting_estado":'
+        || count(*) FILTER (states > 1) || ',"duplicates_in_file":'
+        || sum(CASE WHEN n > 1 THEN n ELSE 0 END) || ',"invalid_territory":0,'
+        || '"invalid_territory_pair":0,"missing_NOMBRE_CARRERA":0,"missing_NOMBRE_IES":0}}}}'
+        AS value FROM per_key GROUP BY file_id""",
+    "dq_metric_table": f"""WITH {_OFFERS}, {_PLAIN}, {_PER_KEY}
+        SELECT metric, CAST(sum(value) AS BIGINT) AS value FROM ({_KEY_METRICS}
+        UNION ALL SELECT DISTINCT file_id, unnest(['invalid_territory', 'invalid_territory_pair',
+        'missing_NOMBRE_IES', 'missing_NOMBRE_CARRERA']), 0 FROM per_key) GROUP BY 1""",
+    "recent_steps": """SELECT CAST(user_id AS VARCHAR) AS file_id, event_id AS step_id,
+        event_type AS step_name, ts AS started_at, value AS duration_seconds FROM events
+        ORDER BY ts DESC, event_id LIMIT 2000""",
     "surrogate_ids": """SELECT o_orderkey, sha256('=' || o_orderkey || chr(31) ||
         CASE WHEN o_orderstatus <> 'F' THEN '=' || o_orderstatus ELSE '~' END) AS id FROM orders""",
 }

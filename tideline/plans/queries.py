@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import (
-    LOAD_METRICS, PROGRAM_KEY, RECENT_CHECKS, RECENT_ISSUES, REQUIRED, RUN_STATES,
-    SOURCE_COLUMNS, ddl,
+    LOAD_METRICS, NATURAL_KEY, PROGRAM_KEY, RECENT_CHECKS, RECENT_ISSUES, REQUIRED,
+    RUN_STATES, SOURCE_COLUMNS, ddl,
 )
 from ..functions import structured
 from ..functions.keys import surrogate_id
@@ -22,6 +22,7 @@ from ..operators import (
     quality, reshape, summary, territory,
 )
 from ..session import spread, stored
+from ..sinks import reports
 from ..sources import files, geojson, offers, sample
 from ..sources.tables import read_view
 
@@ -346,10 +347,13 @@ def _newest(spark, sf) -> str:
 
 
 def _staged(spark, sf) -> DataFrame:
-    """Offers as a file brings them; type and funding differ between runs."""
-    return sample.offers(spark, sf).withColumns(
-        {"provider_type": F.col("o_priority"), "funding_type": F.col("modality")}
+    """Offers as staging holds them; type and funding differ between runs."""
+    rows = sample.offers(spark, sf).select(
+        *sample.ORDER[:4], "row_num", "file_id", "provider", "program", "province", "canton",
+        *NATURAL_KEY, F.col("o_priority").alias("provider_type"),
+        F.col("modality").alias("funding_type"),
     )
+    return stored(rows)
 
 
 def _empty(spark, table: str) -> DataFrame:
@@ -447,7 +451,8 @@ def _checked(spark, sf) -> DataFrame:
     return stored(
         sample.keyed(matched).select(
             "file_id", "natural_key", "row_num", "row_hash", "status_norm", "provider", "program",
-            "province", "canton", "province_norm", "canton_norm",
+            "province", "canton", "province_norm", "canton_norm", "field_norm", "level_norm",
+            "modality_norm", "program_norm", "provider_norm",
         )
     )
 
@@ -497,8 +502,11 @@ def dq_run_metrics(spark, sf):
 @query
 def issue_preview(spark, sf):
     """The first findings of the unspoiled offers."""
-    rows = sample.keyed(sample.offers(spark, sf))
-    return quality.preview(quality.issues(rows, None))
+    rows = sample.keyed(sample.offers(spark, sf)).select(
+        "file_id", "natural_key", "row_num", "row_hash", "status_norm", "provider", "program",
+        "province", "canton", "province_norm", "canton_norm",
+    )
+    return quality.preview(quality.issues(stored(rows), None))
 
 
 def _event_issues(spark, sf) -> DataFrame:
@@ -788,6 +796,37 @@ def header_discovery(spark, sf):
     return offers.drop_empty(below)
 
 
+@query
+def dimension_counts(spark, sf):
+    """Distinct dimension members per run, combinations with NULL parts included."""
+    return monitoring.dimension_counts(_checked(spark, sf))
+
+
+def _plain_runs(spark, sf) -> DataFrame:
+    """Quality runs of the unspoiled offers."""
+    return dq_run_metrics(spark, sf).select(
+        "file_id", F.col("file_id").alias("run_id"), F.lit(NOW).alias("created_at"), "metrics"
+    )
+
+
+@query
+def dq_report(spark, sf):
+    """The quality report of every run as JSON text."""
+    return reports.report_document(_plain_runs(spark, sf), "offers")
+
+
+@query
+def dq_metric_table(spark, sf):
+    """Quality metrics as (metric, value) rows, summed over the runs."""
+    rows = reports.metric_table(_plain_runs(spark, sf))
+    return rows.groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+@query
+def recent_steps(spark, sf):
+    return monitoring.recent_steps(sample.event_steps(spark, sf))
+
+
 @query
 def surrogate_ids(spark, sf):
     """Identifiers from keys with and without NULL parts."""

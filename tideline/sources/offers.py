@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import HEADER_SCAN, REQUIRED, SOURCE_COLUMNS
+from ..contract import HEADER_SCAN, MISSING_TEXTS, REQUIRED, SOURCE_COLUMNS
 from ..functions.text import column_name, column_name_expr
 from ..operators.skew import lookup_join
 
@@ -138,8 +138,11 @@ def read_csv(
     names = canonical_names([n if n else f"unnamed {i}" for i, n in enumerate(raw)])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     read = spark.read.schema(schema).csv(path, header=False, sep=sep)
-    numbered = _number_rows(read).where(F.col("pos") > header)
-    return numbered.withColumn("row_num", F.col("pos") - header).drop("pos")
+    below = _number_rows(read).where(F.col("pos") > header)
+    return below.select(
+        (F.col("pos") - header).alias("row_num"),
+        *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names],
+    )
 
 
 def read_parquet(

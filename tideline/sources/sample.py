@@ -96,8 +96,11 @@ def offers(spark: SparkSession, folder: str) -> DataFrame:
     lines = spread(table(spark, folder, "lineitem"), "l_orderkey").select(
         *ORDER, F.col("l_returnflag").alias("modality"),
         normalize_value(F.col("l_returnflag")).alias("modality_norm"),
-        # Two digits for the line leave room, and the row number stays increasing.
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("row_num"),
+        # Increasing in (order, line); the price in cents tells the few repeated lines apart.
+        (
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000_000
+            + F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1_000_000_000
+        ).alias("row_num"),
     )
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
