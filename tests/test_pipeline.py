@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.contract import QUALITY_METRICS, REQUIRED
 from tideline.operators import constraints
-from tideline.plans.ingest import run_batch
+from tideline.plans.ingest import load_files, run_batch
 from tideline.plans.warehouse import Warehouse, publish_views
 from tideline.sinks.tables import append_health, ensure_tables
 from tideline.streaming import arrivals
@@ -206,8 +206,10 @@ def test_arrivals(spark, loaded, tmp_path):
     assert Warehouse(spark, root).current().count() == 5
 
 
-def test_schema_bootstrap(spark, loaded):
-    root = loaded[0]
+def test_schema_bootstrap(spark, loaded, tmp_path):
+    root = str(tmp_path / "root")
+    for path, day in zip(loaded[2], loaded[3]):
+        run_batch(spark, root, path, loaded[1], day)
     try:
         assert ensure_tables(spark, root) is True
         assert ensure_tables(spark, root) is False
@@ -230,3 +232,30 @@ def test_health_checks(spark, tmp_path):
     assert found.count() == 4
     down = found.where("status = 'down'").first()
     assert (down["status_code"], down["detail"]) == (0, '{"error":"timeout"}')
+
+
+def test_backlog_equals_one_by_one(spark, loaded, tmp_path):
+    root, places, files, days, results = loaded
+    third = write_csv(tmp_path / "third.csv", [offer(status="Vigente"), *FIRST[2:4]])
+    one = run_batch(spark, root, third, places, dt.datetime(2025, 3, 1, tzinfo=dt.UTC))
+    both, step = str(tmp_path / "both"), str(tmp_path / "step")
+    found = load_files(spark, both, [*files, files[0], third], places, days[0])
+    assert [f["status"] for f in found] == ["success", "success", "skipped", "success"]
+    assert [found[i]["metrics"] for i in (0, 1, 3)] == [
+        results[0]["metrics"], results[1]["metrics"], one["metrics"]]
+    run_batch(spark, step, files[0], places, days[0])
+    load_files(spark, step, [files[1], third], places, days[0] + dt.timedelta(milliseconds=1))
+    columns = ["natural_key", "row_hash", "status", "last_file_id", "is_current", "provider_id",
+               "territory_id", "program_id", "offer_id"]
+
+    def state(where, *extra):
+        house = Warehouse(spark, where)
+        versions = house.versions().select(*columns, *extra).collect()
+        providers = house.dimension("provider").drop("created_at", "updated_at").collect()
+        others = [house.dimension(n).select(f"{n}_id").collect() for n in ("territory", "program")]
+        return [sorted(map(tuple, rows), key=str) for rows in (versions, providers, *others)]
+
+    assert state(both) == state(root) == state(step)
+    assert state(both, "first_seen_at", "last_seen_at") == state(
+        step, "first_seen_at", "last_seen_at")
+    assert Warehouse(spark, both).newest() == found[3]["file_id"]

@@ -1,6 +1,8 @@
 import hashlib
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,24 @@ def test_row_numbers_across_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_a_folder_is_numbered_through(spark, tmp_path, kind):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i, size in enumerate((3, 1, 4)):
+        rows = [record(f"{i}-{n}") for n in range(size)]
+        if kind == "csv":
+            write(folder / f"{i}.csv", ["title", ",".join(REQUIRED), *map(",".join, rows)])
+        else:
+            pq.write_table(
+                pa.table(dict(zip(REQUIRED, map(list, zip(*rows))))), folder / f"{i}.parquet"
+            )
+    found = offers.read_offers(spark, str(folder), format=kind).orderBy("row_num").collect()
+    assert [(r["row_num"], r["province"]) for r in found] == [
+        (n + 1, f"provincia {label}") for n, label in enumerate(
+            ["0-0", "0-1", "0-2", "1-0", "2-0", "2-1", "2-2", "2-3"])]
+
+
 def test_missing_columns(spark, tmp_path):
     path = write(tmp_path / "d.csv", [",".join(REQUIRED[:-1]), "1,2,3,4,5,6,7,8,9"])
     with pytest.raises(ValueError, match=r"Missing columns: \['ESTADO'\]"):

@@ -20,88 +20,92 @@ def _same_key(keys: Sequence[str]) -> Column:
     return reduce(and_, tests)
 
 
-def first_seen(staging: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """The first row of the file per dimension key.
+def seen(
+    staging: DataFrame, keys: Sequence[str], columns: Sequence[str], refresh: Sequence[str] = ()
+) -> DataFrame:
+    """Each dimension key of the staged files: ``columns`` from its first row, ``refresh`` from
+    its first row in the last file that has it, and the times of these two files.
 
-    The least row number per key is a plain hash aggregate; its few results then pick their rows
-    by number, which is unique in a file. Sorting all rows by key would cost far more.
+    ``staging`` has ``row_num``, unique and increasing in load order, and ``run_ts``, the load
+    time of the file. The row numbers come from plain hash aggregates; their few results then
+    pick their rows by number. Sorting all rows by key would cost far more.
     """
-    firsts = staging.groupBy(*keys).agg(F.min("row_num").alias("row_num")).select("row_num")
-    picked = lookup_join(
-        staging.select(*columns, "row_num"), firsts, ["row_num"], "inner", skewed=False
+    per_file = staging.groupBy(*keys, "run_ts").agg(F.min("row_num").alias("n"))
+    picks = F.array_distinct(F.array(F.min("n"), F.max_by("n", "run_ts")))
+    numbers = per_file.groupBy(*keys).agg(picks.alias("n")).select(
+        F.explode("n").alias("row_num")
+    )
+    wanted = list(dict.fromkeys([*keys, *columns, *refresh, "row_num", "run_ts"]))
+    rows = lookup_join(staging.select(*wanted), numbers, ["row_num"], "inner", skewed=False)
+    ends = rows.groupBy(*keys).agg(
+        F.min_by(F.struct("run_ts", *columns), "row_num").alias("first"),
+        F.max_by(F.struct("run_ts", *refresh), "row_num").alias("last"),
+    )
+    return ends.select(
+        *keys, *[F.col(f"first.{c}") for c in columns], *[F.col(f"last.{c}") for c in refresh],
+        F.col("first.run_ts").alias("seen_first"), F.col("last.run_ts").alias("seen_last"),
     )
-    return picked.drop("row_num")
 
 
 def upsert(
-    dim: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    id_column: str,
-    update: Sequence[str],
-    run_ts: Column,
+    dim: DataFrame, incoming: DataFrame, keys: Sequence[str], id_column: str,
+    refresh: Sequence[str],
 ) -> DataFrame:
-    """The dimension after inserting new keys and refreshing ``update`` of the known ones.
+    """The dimension after inserting new keys and refreshing some columns of the known ones.
 
-    Keys compare NULL-safely, so a NULL key is one row however often it is loaded. All other
-    attributes keep the value they were inserted with.
+    ``incoming`` comes from ``seen``. Keys compare NULL-safely, so a NULL key is one row however
+    often it is loaded. All other attributes keep the value they were inserted with.
     """
     old = dim.alias("old")
     new = incoming.withColumn("_incoming", F.lit(True)).alias("new")
     both = old.join(new, _same_key(keys), "full_outer")
     known, arrived = F.col(f"old.{id_column}").isNotNull(), F.col("_incoming").isNotNull()
-    columns = []
+    made = surrogate_id(*[F.col(f"new.{k}") for k in keys])
+    special = {
+        id_column: F.coalesce(F.col(f"old.{id_column}"), made),
+        "created_at": F.coalesce(F.col("old.created_at"), F.col("new.seen_first")),
+        "updated_at": F.coalesce(F.col("new.seen_last"), F.col("old.updated_at")),
+    }
     for name in dim.columns:
-        if name == id_column:
-            made = surrogate_id(*[F.col(f"new.{k}") for k in keys])
-            value = F.coalesce(F.col(f"old.{id_column}"), made)
-        elif name == "created_at":
-            value = F.when(known, F.col("old.created_at")).otherwise(run_ts)
-        elif name == "updated_at":
-            value = F.when(arrived, run_ts).otherwise(F.col("old.updated_at"))
-        elif name in update:
-            value = F.when(arrived, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}"))
-        else:
-            value = F.when(known, F.col(f"old.{name}")).otherwise(F.col(f"new.{name}"))
-        columns.append(value.alias(name))
-    return both.select(*columns)
+        if name not in special:
+            mine, theirs = F.col(f"old.{name}"), F.col(f"new.{name}")
+            fresh = F.when(arrived, theirs).otherwise(mine)
+            special[name] = fresh if name in refresh else F.when(known, mine).otherwise(theirs)
+    return both.select(*[special[name].alias(name) for name in dim.columns])
 
 
 def insert_absent(
-    dim: DataFrame, incoming: DataFrame, keys: Sequence[str], id_column: str, run_ts: Column
+    dim: DataFrame, incoming: DataFrame, keys: Sequence[str], id_column: str
 ) -> DataFrame:
     """The dimension with the incoming keys it lacks added; known rows stay as they are."""
     fresh = incoming.alias("new").join(dim.alias("old"), _same_key(keys), "left_anti")
     made = fresh.withColumns(
         {
             id_column: surrogate_id(*[F.col(k) for k in keys]),
-            "created_at": run_ts,
-            "updated_at": run_ts,
+            "created_at": F.col("seen_first"),
+            "updated_at": F.col("seen_first"),
         }
     )
     return dim.unionByName(made.select(*dim.columns))
 
 
-def providers(dim: DataFrame, staging: DataFrame, run_ts: Column) -> DataFrame:
-    rows = first_seen(
-        staging, ["provider", "provider_norm", "provider_type", "funding_type"], PROVIDER_KEY
-    )
-    return upsert(
-        dim, rows, PROVIDER_KEY, "provider_id", ["provider_type", "funding_type"], run_ts
-    )
+def providers(dim: DataFrame, staging: DataFrame) -> DataFrame:
+    """Providers; type and funding follow the latest file."""
+    refresh = ["provider_type", "funding_type"]
+    rows = seen(staging, PROVIDER_KEY, ["provider"], refresh)
+    return upsert(dim, rows, PROVIDER_KEY, "provider_id", refresh)
 
 
-def territories(dim: DataFrame, staging: DataFrame, run_ts: Column) -> DataFrame:
-    rows = first_seen(
-        staging.where("province_norm <> '' and canton_norm <> ''"),
-        ["province", "canton", "province_norm", "canton_norm"], TERRITORY_KEY,
-    )
-    return insert_absent(dim, rows, TERRITORY_KEY, "territory_id", run_ts)
+def territories(dim: DataFrame, staging: DataFrame) -> DataFrame:
+    """Territories with both parts known."""
+    placed = staging.where("province_norm <> '' and canton_norm <> ''")
+    rows = seen(placed, TERRITORY_KEY, ["province", "canton"])
+    return insert_absent(dim, rows, TERRITORY_KEY, "territory_id")
 
 
-def programs(dim: DataFrame, staging: DataFrame, run_ts: Column) -> DataFrame:
-    rows = first_seen(staging, ["program", *PROGRAM_KEY], PROGRAM_KEY)
-    return insert_absent(dim, rows, PROGRAM_KEY, "program_id", run_ts)
+def programs(dim: DataFrame, staging: DataFrame) -> DataFrame:
+    rows = seen(staging, PROGRAM_KEY, ["program"])
+    return insert_absent(dim, rows, PROGRAM_KEY, "program_id")
 
 
 def resolve_ids(

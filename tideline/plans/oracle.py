@@ -414,6 +414,13 @@ ORACLE: dict[str, str] = {
         "program", "program_norm, field_norm, level_norm, modality_norm",
         "program, program_norm, field_norm, level_norm, modality_norm",
     ),
+    "dim_provider_backlog": f"""WITH {_OFFERS}, n AS (SELECT *, lower(provider) AS provider_norm,
+        row_number() OVER (PARTITION BY provider ORDER BY run_ts, row_num) AS a,
+        row_number() OVER (PARTITION BY provider ORDER BY run_ts DESC, row_num) AS z FROM base)
+        SELECT sha256('=' || f.provider_norm) AS provider_id, f.provider, f.provider_norm,
+        l.o_priority AS provider_type, l.modality AS funding_type, f.run_ts AS created_at,
+        l.run_ts AS updated_at FROM n f JOIN n l ON f.provider = l.provider
+        WHERE f.a = 1 AND l.z = 1""",
     "resolve_ids": f"""WITH {_OFFERS},
         n AS (SELECT *, '=' || {_norm('provider')} AS a, '=' || {_norm('province')} || chr(31) || '='
           || {_norm('canton')} AS b, '=' || {_norm('program')} || chr(31) || '=' || {_norm('field')}

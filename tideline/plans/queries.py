@@ -363,11 +363,16 @@ def _empty(spark, table: str) -> DataFrame:
 BEFORE, NOW = dt.datetime(2002, 1, 1), dt.datetime(2003, 1, 1)
 
 
+def _loaded(rows: DataFrame, when: dt.datetime) -> DataFrame:
+    """Rows as one file that was loaded at a given time."""
+    return rows.withColumn("run_ts", F.lit(when))
+
+
 def _dimension(spark, sf, build, table) -> DataFrame:
     """A dimension after the earlier runs, then after the newest."""
     rows, newest = _staged(spark, sf), _newest(spark, sf)
-    old = build(_empty(spark, table), rows.where(F.col("file_id") < newest), F.lit(BEFORE))
-    return build(old, rows.where(F.col("file_id") == newest), F.lit(NOW))
+    old = build(_empty(spark, table), _loaded(rows.where(F.col("file_id") < newest), BEFORE))
+    return build(old, _loaded(rows.where(F.col("file_id") == newest), NOW))
 
 
 @query
@@ -388,13 +393,26 @@ def dim_program_insert(spark, sf):
     return _naive(made, "created_at", "updated_at")
 
 
+@query
+def dim_provider_backlog(spark, sf):
+    """Providers after all runs in one go: first names, and the latest type and funding."""
+    rows = sample.offers(spark, sf).select(
+        # Numbers that increase with the run, then with the order of the rows.
+        ((F.year("run_ts") - 1990) * F.lit(1 << 55) + F.col("row_num")).alias("row_num"),
+        F.col("run_ts").cast("timestamp").alias("run_ts"), "provider", "provider_norm",
+        F.col("o_priority").alias("provider_type"), F.col("modality").alias("funding_type"),
+    )
+    made = dimensions.providers(_empty(spark, "core/provider"), stored(rows))
+    return _naive(made, "created_at", "updated_at")
+
+
 @query
 def resolve_ids(spark, sf):
     """Surrogate keys of all offers against dimensions that know the earlier runs only."""
     rows, newest = _staged(spark, sf), _newest(spark, sf)
     known = rows.where(F.col("file_id") < newest)
     dims = [
-        build(_empty(spark, table), known, F.lit(BEFORE))
+        build(_empty(spark, table), _loaded(known, BEFORE))
         for build, table in (
             (dimensions.providers, "core/provider"),
             (dimensions.territories, "core/territory"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,11 +90,12 @@ def _preview(spark: SparkSession, path: str, sep: str, rows: int) -> list[list[s
     return [next(csv.reader([line], delimiter=sep)) for line in text]
 
 
-def _number_rows(read: DataFrame) -> DataFrame:
-    """Adds ``pos``, the row's position in its file, from 0.
+def number_rows(read: DataFrame, header: int = -1) -> DataFrame:
+    """The rows below the header of each file, with ``row_num`` from 1, in file order.
 
-    Rows are counted per file block in parallel; only the block offsets are summed up and joined
-    back, so no sort or single task sees the rows themselves.
+    ``header`` is the position of the header row, -1 for none. Several files are numbered
+    through, by path. Rows are counted per file block in parallel; only the block counts are
+    summed up and joined back, so no sort or single task sees the rows themselves.
     """
     block = ["_file", "_block"]
     located = read.select(
@@ -104,17 +105,29 @@ def _number_rows(read: DataFrame) -> DataFrame:
         "*",
     )
     blocks = located.groupBy(*block).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    offsets = blocks.select(*block, "_first", _before("_n", in_file).alias("_offset")).join(
+        # One row per file.
+        files.select(
+            "_file", _before(F.col("_n") - (header + 1), Window.orderBy("_file")).alias("_above")
+        ),
+        "_file",
     )
-    before = F.sum("_n").over(earlier)
-    offsets = blocks.withColumn("_offset", F.coalesce(before, F.lit(0))).drop("_n")
     placed = lookup_join(located, offsets, block)
-    return placed.withColumn("pos", F.col("_offset") + F.col("_id") - F.col("_first")).drop(
-        *block, "_id", "_first", "_offset"
+    pos = F.col("_offset") + F.col("_id") - F.col("_first")
+    kept = placed.withColumn("_pos", pos).where(F.col("_pos") > header)
+    return kept.withColumn("row_num", F.col("_above") + F.col("_pos") - header).drop(
+        *block, "_id", "_first", "_offset", "_above", "_pos"
     )
 
 
+def _before(value: Column | str, order: WindowSpec) -> Column:
+    """Sum of ``value`` over the earlier rows."""
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+
+
 def read_csv(
     spark: SparkSession, path: str, required: Sequence[str] = REQUIRED, sep: str = ",",
 ) -> DataFrame:
@@ -138,36 +151,43 @@ def read_csv(
     names = canonical_names([n if n else f"unnamed {i}" for i, n in enumerate(raw)])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     read = spark.read.schema(schema).csv(path, header=False, sep=sep)
-    below = _number_rows(read).where(F.col("pos") > header)
-    return below.select(
-        (F.col("pos") - header).alias("row_num"),
-        *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names],
+    return number_rows(read, header).select(
+        "row_num", *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names]
     )
 
 
 def read_parquet(
     spark: SparkSession, path: str, required: Sequence[str] = REQUIRED
 ) -> DataFrame:
-    """A Parquet file as canonical columns plus ``row_num``, which the format itself carries."""
+    """A Parquet file as canonical columns plus ``row_num``."""
     df = spark.read.parquet(path)
     names = canonical_names(df.columns)
     _demand(names, required)
-    index = F.col("_metadata.row_index").alias("_row_index")
-    numbered = df.select("*", index).toDF(*names, "_row_index")
-    return numbered.withColumn("row_num", F.col("_row_index") + 1).drop("_row_index")
+    renamed = [F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, names)]
+    if len(df.inputFiles()) > 1:
+        return number_rows(df).select("row_num", *renamed)
+    # The format itself numbers the rows of a file.
+    return df.select((F.col("_metadata.row_index") + 1).alias("row_num"), *renamed)
 
 
 def read_offers(
-    spark: SparkSession, path: str, required: Sequence[str] = REQUIRED, sep: str = ",",
+    spark: SparkSession,
+    path: str,
+    required: Sequence[str] = REQUIRED,
+    sep: str = ",",
+    format: str | None = None,
 ) -> DataFrame:
     """The required columns of a published file under their neutral names, with ``row_num``.
 
-    Extra columns are dropped, and so are rows that lack every required value.
+    ``format`` is ``csv`` or ``parquet``, by default told from the name. Extra columns are
+    dropped, and so are rows that lack every required value.
     """
-    reader = read_parquet if path.rstrip("/").endswith(".parquet") else read_csv
-    extra = {} if reader is read_parquet else {"sep": sep}
-    df = drop_empty(reader(spark, path, required, **extra), required)
-    return df.select(
+    kind = format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+    if kind == "parquet":
+        df = read_parquet(spark, path, required)
+    else:
+        df = read_csv(spark, path, required, sep)
+    return drop_empty(df, required).select(
         F.col("row_num").cast("bigint").alias("row_num"),
         *[F.col(c).cast("string").alias(SOURCE_COLUMNS.get(c, c)) for c in required],
     )
