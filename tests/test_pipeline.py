@@ -202,6 +202,7 @@ def test_arrivals(spark, loaded, tmp_path):
     assert drain() == {"1.csv": "success"}
     write_csv(landing / "2.csv", SECOND)
     write_csv(landing / "copy.csv", FIRST)
+    (landing / "odd.csv").write_text("a,b\n1,2\n")
     assert drain() == {"1.csv": "success", "2.csv": "success"}
     assert Warehouse(spark, root).current().count() == 5
 

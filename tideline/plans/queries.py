@@ -360,12 +360,13 @@ def _empty(spark, table: str) -> DataFrame:
     return spark.createDataFrame([], ddl(table)).drop("file_id")
 
 
-BEFORE, NOW = dt.datetime(2002, 1, 1), dt.datetime(2003, 1, 1)
+# Load times of the earlier runs and of the newest, as text read in the session's time zone.
+BEFORE, NOW = "2002-01-01", "2003-01-01"
 
 
-def _loaded(rows: DataFrame, when: dt.datetime) -> DataFrame:
+def _loaded(rows: DataFrame, when: str) -> DataFrame:
     """Rows as one file that was loaded at a given time."""
-    return rows.withColumn("run_ts", F.lit(when))
+    return rows.withColumn("run_ts", F.lit(when).cast("timestamp"))
 
 
 def _dimension(spark, sf, build, table) -> DataFrame:
@@ -456,7 +457,7 @@ def scd2_merge(spark, sf):
     )
     return history.merge(
         state.where("is_current"), incoming, PAYLOAD, F.lit(newest),
-        F.lit(dt.datetime(int(newest), 12, 31)).cast("timestamp_ntz"),
+        F.lit(f"{newest}-12-31").cast("timestamp_ntz"),
     )
 
 
@@ -823,7 +824,7 @@ def dimension_counts(spark, sf):
 def _plain_runs(spark, sf) -> DataFrame:
     """Quality runs of the unspoiled offers."""
     return dq_run_metrics(spark, sf).select(
-        "file_id", F.col("file_id").alias("run_id"), F.lit(NOW).alias("created_at"), "metrics"
+        "file_id", F.col("file_id").alias("run_id"), F.lit(NOW).cast("timestamp").alias("created_at"), "metrics"
     )
 
 
