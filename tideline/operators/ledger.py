@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import lookup_join
 
 def current_state(events: DataFrame) -> DataFrame:
     """One row per file: every column holds the last non-NULL value its events wrote."""
@@ -16,15 +17,20 @@ def current_state(events: DataFrame) -> DataFrame:
 
 
 def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files whose content a successful run has loaded, with that run's ``file_id``."""
-    done = ledger.where("status = 'success'").select("checksum", "file_id")
-    return files.join(done, "checksum")
+    """Files whose content a successful run has loaded, with that run's ``file_id``.
+
+    Any number of files may share one content, so the ledger is joined as a measured lookup.
+    """
+    good = ledger.where("status = 'success'")
+    done = good.groupBy("checksum").agg(F.min("file_id").alias("file_id"))
+    return lookup_join(files, done, ["checksum"], "inner")
 
 
 def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files whose content no successful run has loaded; failed ones come up again."""
-    done = ledger.where("status = 'success'").select("checksum")
-    return files.join(done, "checksum", "left_anti")
+    done = ledger.where("status = 'success'").select("checksum").distinct()
+    marked = lookup_join(files, done.withColumn("_done", F.lit(True)), ["checksum"])
+    return marked.where("_done is null").drop("_done")
 
 
 def run_states(ledger: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..contract import ISSUE_PREVIEW
 from ..functions.keys import surrogate_id
 from ..functions.structured import json_document
 from .filters import missing_text
-from .skew import rows_of_repeated_keys
+from .skew import lookup_join, rows_of_repeated_keys
 
 KEY = ("file_id", "natural_key")
 
@@ -25,7 +25,7 @@ def _mark_pairs(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
     pairs = (
         catalog.select("province_norm", "canton_norm").distinct().withColumn("_ok", F.lit(True))
     )
-    listed = rows.join(pairs, ["province_norm", "canton_norm"], "left")
+    listed = lookup_join(rows, pairs, ["province_norm", "canton_norm"])
     return listed.withColumn(
         "bad_pair", F.col("_ok").isNull() & ~unmatched_territory()
     ).drop("_ok")

@@ -47,8 +47,8 @@ def top_counts(df: DataFrame, tops: Mapping[str, int]) -> DataFrame:
 
 def dataset_summary(df: DataFrame, first_day: str | None, last_day: str | None) -> DataFrame:
     """One row: the headline figures, the most frequent values and the whole as text."""
-    figures = kpis(df).withColumn("_one", F.lit(1))
-    leaders = top_counts(df, SUMMARY_TOPS).withColumn("_one", F.lit(1))
+    parts = kpis(df).unionByName(top_counts(df, SUMMARY_TOPS), allowMissingColumns=True)
+    whole = parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns])
     days = f"{first_day} to {last_day}" if first_day and last_day else "n/a"
     # The lines of the summary.
     lines = [
@@ -67,5 +67,4 @@ def dataset_summary(df: DataFrame, first_day: str | None, last_day: str | None)
     text = F.concat_ws(
         "\n", F.lit("Dataset filtered summary"), *[F.concat(F.lit(a), b) for a, b in lines]
     )
-    # Both sides are one row.
-    return figures.join(leaders, "_one").drop("_one").withColumn("summary", text)
+    return whole.withColumn("summary", text)

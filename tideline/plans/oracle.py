@@ -575,10 +575,10 @@ ORACLE: dict[str, str] = {
     "pending_documents": """SELECT doc_id, sha256(text) AS checksum FROM documents
         WHERE sha256(text) NOT IN (SELECT sha256(d.text) FROM documents d JOIN labels l
         ON d.doc_id = l.doc_id WHERE quality = 1)""",
-    "loaded_documents": """SELECT a.doc_id, sha256(a.text) AS checksum,
-        CAST(d.doc_id AS VARCHAR) AS file_id FROM documents a
-        JOIN documents d ON sha256(a.text) = sha256(d.text)
-        JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1""",
+    "loaded_documents": """WITH done AS (SELECT sha256(text) AS checksum,
+        min(CAST(d.doc_id AS VARCHAR)) AS file_id FROM documents d JOIN labels l
+        ON d.doc_id = l.doc_id WHERE quality = 1 GROUP BY 1)
+        SELECT doc_id, checksum, file_id FROM documents JOIN done ON sha256(text) = checksum""",
     "header_discovery": f"""WITH {_OFFERS} SELECT row_num, provider AS "NOMBRE_IES",
         provider_type AS "TIPO_IES", funding_type AS "TIPO_FINANCIAMIENTO",
         program AS "NOMBRE_CARRERA", field AS "CAMPO_AMPLIO", level AS "NIVEL_FORMACION",

@@ -21,6 +21,7 @@ from ..operators import (
     constraints, dedup, dimensions, diversity, filters, history, ledger, marts, monitoring,
     quality, reshape, summary, territory,
 )
+from ..operators.skew import lookup_join
 from ..session import spread, stored
 from ..sinks import reports
 from ..sources import files, geojson, offers, sample
@@ -634,7 +635,7 @@ def step_durations(spark, sf):
     """Seconds from each step to the end of its day's work."""
     steps = sample.event_steps(spark, sf)
     ends = steps.groupBy("file_id").agg(F.max("started_at").alias("finished_at"))
-    return steps.join(ends, "file_id").select(
+    return lookup_join(steps, ends, ["file_id"]).select(
         "step_id", "file_id",
         seconds_between(F.col("started_at"), F.col("finished_at")).alias("seconds"),
     )
