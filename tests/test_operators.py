@@ -106,14 +106,34 @@ def test_repeated_keys_with_a_hot_key(spark):
 
 
 def test_lookup_join_salted_equals_broadcast(spark, monkeypatch):
-    rows = spark.createDataFrame(
-        [(i % 3 and "hot" or f"k{i}", i) for i in range(500)], "k string, v int"
-    )
+    keys = ["hot" if i % 3 else f"k{i % 40}" for i in range(600)] + [None] * 300
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v int")
     lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "k string, w int")
-    small = rows_of(skew.lookup_join(rows, lookup, ["k"]).select("k", "v", "w"))
+    for how in ("left", "inner"):
+        small = rows_of(skew.lookup_join(rows, lookup, ["k"], how).select("k", "v", "w"))
+        with monkeypatch.context() as patch:
+            patch.setattr(skew, "BROADCAST_BYTES", -1)
+            patch.setattr(skew, "HOT_ROWS", 100)
+            large = skew.lookup_join(rows, lookup, ["k"], how).select("k", "v", "w")
+            assert rows_of(large) == small
+            plain = skew.lookup_join(rows, lookup, ["k"], how, skewed=False)
+            assert rows_of(plain.select("k", "v", "w")) == small
+    # The rows of the hot key and those without a key end up in more than one partition.
     monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
-    large = rows_of(skew.lookup_join(rows, lookup, ["k"]).select("k", "v", "w"))
-    assert small == large and len(small) == 500
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    monkeypatch.setattr(skew, "SALTS", 16)
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled",
+                                          "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = skew.lookup_join(rows, lookup, ["k"]).groupBy(
+            "k", F.spark_partition_id().alias("p")).count().groupBy("k").count()
+        spread = {r["k"]: r["count"] for r in placed.collect()}
+        assert spread["hot"] > 1 and spread[None] > 1 and spread["k3"] == 1
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
 
 
 # History ---------------------------------------------------------------------------------------

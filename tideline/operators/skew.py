@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 
 SALTS = 64
+HOT_ROWS = 10_000_000
 BROADCAST_BYTES = 64 << 20
 
 
@@ -37,9 +40,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join of ``rows`` to a lookup with one row per key, whatever the key skew.
 
-    The lookup is computed once and measured. A small one is broadcast; a larger one is repeated
-    per salt so that the rows of a hot key spread over ``SALTS`` tasks. Where keys are known to
-    be unique among the rows too, ``skewed=False`` joins a large lookup as it is.
+    The lookup is computed once and measured, and a small one is broadcast. For a larger one the
+    hot keys are counted out: there are at most rows / ``HOT_ROWS`` of them. Their rows spread
+    over ``SALTS`` tasks, with their lookup rows repeated per salt; all other keys join as they
+    are. Where keys are known to be unique among the rows too, ``skewed=False`` spares that.
     """
     on = list(on)
     lookup = checkpointed(lookup)
@@ -52,8 +56,17 @@ def lookup_join(
         return rows.join(F.broadcast(lookup), on, how)
     if not skewed:
         return rows.join(lookup, on, how)
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
+    hot = F.broadcast(checkpointed(counts.select(*on, F.lit(True).alias("_hot"))))
+    # Rows with a NULL key match nothing, so they may go anywhere.
+    loose = reduce(or_, [F.col(c).isNull() for c in on])
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    salted = rows.join(hot, on, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | loose, salt).otherwise(0)
+    )
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    repeated = lookup.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))
     )
-    spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
