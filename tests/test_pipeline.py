@@ -132,13 +132,7 @@ def test_star_and_constraints(spark, loaded):
     star = house.star()
     assert star.count() == 5
     assert {r["province"] for r in star.collect()} == {"el oro", "loja", "pichincha"}
-    tables = {
-        "files": house.ledger(), "staging": house.table("raw/staging"),
-        "provider": house.dimension("provider"), "territory": house.dimension("territory"),
-        "program": house.dimension("program"), "offer": house.versions(),
-        "run": house.table("audit/run"), "issue": house.table("audit/issue"),
-        "step": house.table("ops/step"), "health": house.table("ops/health"),
-    }
+    tables = house.constraint_tables()
     assert {r["violations"] for r in constraints.audit(tables).collect()} == {0}
 
 

@@ -296,6 +296,34 @@ per_key AS (SELECT file_id, natural_key, count(*) AS n, count(DISTINCT status_no
   FROM keyed GROUP BY 1, 2)
 """
 
+# The stored warehouse: rows without a territory are skipped, runs load a millisecond apart.
+_HOUSE = f"""{_DQ}, {_PER_KEY},
+loads AS (SELECT file_id, TIMESTAMP '2002-01-01' + to_milliseconds(
+  CAST(row_number() OVER (ORDER BY file_id) - 1 AS BIGINT)) AS stamp FROM (SELECT DISTINCT file_id FROM base)),
+lasts AS (SELECT * FROM flagged QUALIFY
+  row_number() OVER (PARTITION BY natural_key, file_id ORDER BY row_num DESC) = 1),
+flags AS (SELECT *, lag(row_hash) OVER (PARTITION BY natural_key ORDER BY file_id) AS before
+  FROM lasts JOIN loads USING (file_id) WHERE NOT bad_place),
+numbered AS (SELECT *, sum(CASE WHEN before = row_hash THEN 0 ELSE 1 END) OVER
+  (PARTITION BY natural_key ORDER BY file_id) AS version FROM flags),
+spans AS (SELECT natural_key, version, any_value(row_hash) AS row_hash,
+  arg_min(status, stamp) AS status, min(stamp) AS opened, max(stamp) AS touched FROM numbered GROUP BY 1, 2),
+versions AS (SELECT *, lead(opened) OVER (PARTITION BY natural_key ORDER BY version) AS next
+  FROM spans),
+changes AS (SELECT file_id, count(*) FILTER (before IS NULL) AS ingest_new,
+  count(*) FILTER (before <> row_hash) AS ingest_updated,
+  count(*) FILTER (before = row_hash) AS ingest_unchanged FROM flags GROUP BY 1),
+runs AS (SELECT file_id, stamp, rows_loaded, coalesce(ingest_new, 0) AS ingest_new,
+  coalesce(ingest_updated, 0) AS ingest_updated, coalesce(ingest_unchanged, 0) AS ingest_unchanged,
+  skipped_missing_dims FROM (SELECT file_id, count(*) AS rows_loaded FROM flagged GROUP BY 1)
+  JOIN loads USING (file_id) LEFT JOIN changes USING (file_id)
+  JOIN (SELECT file_id, count(*) FILTER (bad_place) AS skipped_missing_dims FROM lasts GROUP BY 1)
+  USING (file_id))
+"""
+_HOUSE_METRICS = (
+    "rows_loaded", "ingest_new", "ingest_updated", "ingest_unchanged", "skipped_missing_dims",
+)
+
 ORACLE: dict[str, str] = {
     "star_offers": _star("SELECT * FROM offers LEFT JOIN runs USING (file_id)", _RUNS),
     "filter_facets": _star(
@@ -602,6 +630,76 @@ ORACLE: dict[str, str] = {
     "recent_steps": """SELECT CAST(user_id AS VARCHAR) AS file_id, event_id AS step_id,
         event_type AS step_name, ts AS started_at, value AS duration_seconds FROM events
         ORDER BY ts DESC, event_id LIMIT 2000""",
+    "warehouse_versions": f"""{_HOUSE} SELECT natural_key, row_hash, status,
+        opened AS first_seen_at, coalesce(next, touched) AS last_seen_at, next IS NULL AS is_current
+        FROM versions""",
+    "warehouse_runs": f"""{_HOUSE} SELECT stamp AS ingested_at, 'success' AS status,
+        'new=' || ingest_new || ', updated=' || ingest_updated || ', unchanged='
+        || ingest_unchanged || ', skipped_missing_dims=' || skipped_missing_dims AS notes,
+        {', '.join(_HOUSE_METRICS)} FROM runs""",
+    "warehouse_quality": f"""{_HOUSE} """ + " UNION ALL ".join(
+        [f"SELECT stamp AS created_at, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM runs"
+         for m in _HOUSE_METRICS]
+        + [f"SELECT stamp, '{m}', CAST(count(*) FILTER ({test}) AS DOUBLE) FROM flagged "
+           "JOIN loads USING (file_id) GROUP BY 1"
+           for m, test in (
+               ("invalid_territory", "bad_place"), ("invalid_territory_pair", "false"),
+               ("missing_NOMBRE_IES", "provider IS NULL"),
+               ("missing_NOMBRE_CARRERA", "program IS NULL"))]
+        + [f"SELECT stamp, metric, CAST(value AS DOUBLE) FROM ({_KEY_METRICS}) "
+           "JOIN loads USING (file_id)"]
+    ),
+    "warehouse_issues": f"""{_HOUSE} SELECT stamp AS created_at, issue_type, issues FROM (
+        SELECT file_id, 'duplicate_natural_key' AS issue_type, CAST(sum(n) AS BIGINT) AS issues
+          FROM per_key WHERE n > 1 GROUP BY 1
+        UNION ALL SELECT file_id, 'conflicting_estado', count(*) FROM per_key WHERE states > 1
+          GROUP BY 1
+        UNION ALL SELECT file_id, 'missing_territory_norm', count(*) FROM flagged WHERE bad_place
+          GROUP BY 1
+        UNION ALL SELECT file_id, 'missing_nombre_ies', count(*) FROM flagged
+          WHERE provider IS NULL GROUP BY 1
+        UNION ALL SELECT file_id, 'missing_nombre_carrera', count(*) FROM flagged
+          WHERE program IS NULL GROUP BY 1) JOIN loads USING (file_id)""",
+    "warehouse_star": f"""{_HOUSE} SELECT lower(status) AS status, touched AS last_seen_at,
+        touched AS ingested_at, provider, provider_type, funding_type, province, canton, program,
+        field, level, modality FROM (SELECT natural_key, status, touched FROM versions
+        WHERE next IS NULL) JOIN (SELECT natural_key, {_norm('any_value(provider)')} AS provider,
+        {_norm('any_value(program)')} AS program, {_norm('any_value(field)')} AS field,
+        {_norm('any_value(level)')} AS level, {_norm('any_value(modality)')} AS modality,
+        any_value(province_norm) AS province, any_value(canton_norm) AS canton FROM lasts GROUP BY 1)
+        USING (natural_key) JOIN (SELECT {_norm('provider')} AS provider,
+        arg_max(provider_type, (file_id, -row_num)) AS provider_type,
+        arg_max(funding_type, (file_id, -row_num)) AS funding_type FROM flagged GROUP BY 1) p
+        USING (provider)
+        UNION ALL SELECT lower(status), touched, touched, NULL, t.provider_type, t.funding_type,
+        province, canton, program, field, level, modality
+        FROM (SELECT natural_key, status, touched FROM versions WHERE next IS NULL)
+        JOIN (SELECT natural_key, any_value(provider) AS provider,
+        {_norm('any_value(program)')} AS program, {_norm('any_value(field)')} AS field,
+        {_norm('any_value(level)')} AS level, {_norm('any_value(modality)')} AS modality,
+        any_value(province_norm) AS province, any_value(canton_norm) AS canton FROM lasts
+        WHERE provider IS NULL GROUP BY 1) USING (natural_key),
+        (SELECT arg_max(provider_type, (file_id, -row_num)) AS provider_type,
+        arg_max(funding_type, (file_id, -row_num)) AS funding_type FROM flagged
+        WHERE provider IS NULL) t""",
+    "warehouse_constraints": """SELECT unnest(['files', 'provider', 'territory', 'program', 'offer',
+        'files', 'health', 'files', 'files', 'health', 'step', 'staging', 'offer', 'offer', 'offer',
+        'offer', 'run', 'issue', 'step']) AS table_name, unnest(['unique(checksum)',
+        'unique(provider_norm)', 'unique(province_norm,canton_norm)',
+        'unique(program_norm,field_norm,level_norm,modality_norm)', 'unique(natural_key)',
+        'domain(status)', 'domain(status)', 'not_null(file_name)', 'not_null(checksum)',
+        'not_null(service_name)', 'not_null(step_name)', 'reference(file_id->files.file_id)',
+        'reference(provider_id->provider.provider_id)',
+        'reference(territory_id->territory.territory_id)',
+        'reference(program_id->program.program_id)', 'reference(last_file_id->files.file_id)',
+        'reference(file_id->files.file_id)', 'reference(run_id->run.run_id)',
+        'reference(file_id->files.file_id)']) AS rule, CAST(0 AS BIGINT) AS violations""",
+    "published_top_provinces": f"""{_HOUSE} SELECT split_part(natural_key, '|', 6)
+        AS provincia_norm, count(*) AS offers FROM versions WHERE next IS NULL GROUP BY 1
+        ORDER BY offers DESC, 1 LIMIT 3""",
+    "published_series": f"""{_HOUSE} SELECT count(*) AS files, """ + ", ".join(
+        f"CAST(sum({m}) AS BIGINT) AS {m}" for m in _HOUSE_METRICS
+    ) + " FROM runs",
     "surrogate_ids": """SELECT o_orderkey, sha256('=' || o_orderkey || chr(31) ||
         CASE WHEN o_orderstatus <> 'F' THEN '=' || o_orderstatus ELSE '~' END) AS id FROM orders""",
 }

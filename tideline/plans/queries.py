@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,12 @@ from ..operators import (
     quality, reshape, summary, territory,
 )
 from ..operators.skew import lookup_join
-from ..session import spread, stored
+from ..session import scratch_dir, spread, stored
 from ..sinks import reports
 from ..sources import files, geojson, offers, sample
 from ..sources.tables import read_view
+from .ingest import load_files
+from .warehouse import Warehouse, publish_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -856,3 +859,110 @@ def surrogate_ids(spark, sf):
             F.col("o_orderkey"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus"))
         ).alias("id"),
     )
+
+
+# The warehouse itself, loaded from files that Spark writes out of the test tables --------------
+
+_HOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
+def _house(spark, sf) -> Warehouse:
+    """A warehouse that has loaded every run of the spoiled offers; built once per session.
+
+    Each run is a folder of delimited files in row order, with a title above the header.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _HOUSES:
+        return _HOUSES[key]
+    base = f"{scratch_dir(spark).rstrip('/')}/house/{uuid.uuid4().hex}"
+    rows = _spoiled(spark, sf).select(
+        "file_id", "row_num", *[F.col(n).alias(p) for p, n in SOURCE_COLUMNS.items()]
+    )
+    ordered = rows.orderBy("file_id", "row_num").drop("row_num")
+    ordered.write.partitionBy("file_id").option("header", True).csv(f"{base}/landing")
+    # 25 rows, in catalogue order.
+    places = sample.catalog(spark, sf).orderBy("ordinal").select(
+        F.col("province_norm").alias("provincia"), F.col("canton_norm").alias("canton")
+    )
+    places.coalesce(1).write.option("header", True).csv(f"{base}/places")
+    # One value per run.
+    years = sample.runs(spark, sf).orderBy("file_id").select("file_id").collect()
+    load_files(
+        spark, f"{base}/house", [f"{base}/landing/file_id={y['file_id']}" for y in years],
+        f"{base}/places", dt.datetime(2002, 1, 1, tzinfo=dt.UTC),
+    )
+    _HOUSES[key] = Warehouse(spark, f"{base}/house")
+    return _HOUSES[key]
+
+
+def _utc(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants as naive UTC times."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    return df.withColumns(
+        {
+            c: F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+            for c in columns
+        }
+    )
+
+
+@query
+def warehouse_versions(spark, sf):
+    """All stored versions after loading every run."""
+    versions = _house(spark, sf).versions().select(
+        "natural_key", "row_hash", "status", "first_seen_at", "last_seen_at", "is_current"
+    )
+    return _utc(versions, "first_seen_at", "last_seen_at")
+
+
+@query
+def warehouse_runs(spark, sf):
+    """The ledger: what each run loaded and changed."""
+    runs = _house(spark, sf).ledger().select("ingested_at", "status", "notes", *LOAD_METRICS)
+    return _utc(runs, "ingested_at")
+
+
+@query
+def warehouse_quality(spark, sf):
+    """Stored quality metrics of every run."""
+    runs = _house(spark, sf).table("audit/run")
+    return _utc(reshape.metric_rows(runs, ["created_at"]), "created_at")
+
+
+@query
+def warehouse_issues(spark, sf):
+    """Stored issues by run and type."""
+    log = _house(spark, sf).table("audit/issue")
+    counts = log.groupBy("created_at", "issue_type").agg(F.count("*").alias("issues"))
+    return _utc(counts, "created_at")
+
+
+@query
+def warehouse_star(spark, sf):
+    """The star of the stored current offers."""
+    star = _house(spark, sf).star().drop("offer_id", "is_current")
+    return _utc(star, "last_seen_at", "ingested_at")
+
+
+@query
+def warehouse_constraints(spark, sf):
+    """The constraint audit of the stored warehouse."""
+    house = _house(spark, sf)
+    return constraints.audit(house.constraint_tables())
+
+
+@query
+def published_top_provinces(spark, sf):
+    """The published table function, called from SQL."""
+    publish_views(spark, _house(spark, sf).root)
+    return spark.sql("SELECT * FROM rpc_top_provinces(3)")
+
+
+@query
+def published_series(spark, sf):
+    """The published series function, called from SQL."""
+    publish_views(spark, _house(spark, sf).root)
+    return spark.sql(
+        "SELECT files, rows_loaded, ingest_new, ingest_updated, ingest_unchanged, "
+        "skipped_missing_dims FROM rpc_ingestion_series('month')"
+    )

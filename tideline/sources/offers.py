@@ -97,6 +97,11 @@ def number_rows(read: DataFrame, header: int = -1) -> DataFrame:
     through, by path. Rows are counted per file block in parallel; only the block counts are
     summed up and joined back, so no sort or single task sees the rows themselves.
     """
+    if len(read.inputFiles()) == 1 and read.rdd.getNumPartitions() == 1:
+        # One file in one piece: the id is the position.
+        pos = read.select(F.monotonically_increasing_id().alias("_pos"), "*")
+        below = pos.where(F.col("_pos") > header)
+        return below.withColumn("row_num", F.col("_pos") - header).drop("_pos")
     block = ["_file", "_block"]
     located = read.select(
         F.col("_metadata.file_path").alias("_file"),
