@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], newest: bool) -> DataFrame:
     # A rank of one lets every map task drop all but its best row per key before the shuffle,
-    # so a key holding much of the data sends one row per task.
+    # so a key holding much of the data sends one row per task. The hash in front makes the sort
+    # compare numbers; long keys that begin alike would be compared letter by letter.
     ranked = [F.desc(c) if newest else F.asc(c) for c in order]
-    window = Window.partitionBy(*keys).orderBy(*ranked)
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*ranked)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 

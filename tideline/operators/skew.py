@@ -23,8 +23,14 @@ def rows_of_repeated_keys(df: DataFrame, keys: Sequence[str], row_id: Column) ->
     the counting and when its rows are joined back; the totals per key see at most ``SALTS``
     partial counts each.
     """
-    keys = list(keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
+    # The hash in front makes the sorts of the join compare numbers instead of long keys.
+    salted = df.withColumns(
+        {
+            "_hash": F.xxhash64(*keys),
+            "_salt": F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"),
+        }
+    )
+    keys = ["_hash", *keys]
     parts = salted.groupBy(*keys, "_salt").agg(F.count("*").alias("_n"))
     totals = parts.groupBy(*keys).agg(
         F.sum("_n").alias("key_rows"), F.collect_list("_salt").alias("_salts")
@@ -32,7 +38,7 @@ def rows_of_repeated_keys(df: DataFrame, keys: Sequence[str], row_id: Column) ->
     repeated = totals.where("key_rows > 1").select(
         *keys, "key_rows", F.explode("_salts").alias("_salt")
     )
-    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
+    return salted.join(repeated, [*keys, "_salt"]).drop("_hash", "_salt")
 
 
 def lookup_join(

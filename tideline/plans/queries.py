@@ -436,28 +436,28 @@ PAYLOAD = ("status_norm",)
 
 def _versioned(spark, sf) -> DataFrame:
     return sample.keyed(sample.offers(spark, sf)).select(
-        "natural_key", "row_hash", *PAYLOAD, "file_id", "run_ts", *sample.ORDER
+        "natural_key", "row_hash", *PAYLOAD, "file_id", "run_ts", "row_num"
     )
 
 
 @query
 def scd2_versions(spark, sf):
     """All versions after loading every run, oldest first, in one job."""
-    return history.replay(_versioned(spark, sf), PAYLOAD, sample.ORDER)
+    return history.replay(_versioned(spark, sf), PAYLOAD, ["row_num"])
 
 
 @query
 def scd2_run_counts(spark, sf):
-    return history.run_counts(_versioned(spark, sf), sample.ORDER)
+    return history.run_counts(_versioned(spark, sf), ["row_num"])
 
 
 @query
 def scd2_merge(spark, sf):
     """The newest run merged into the state the earlier ones left."""
     rows, newest = _versioned(spark, sf), _newest(spark, sf)
-    state = history.replay(rows.where(F.col("file_id") < newest), PAYLOAD, sample.ORDER)
+    state = history.replay(rows.where(F.col("file_id") < newest), PAYLOAD, ["row_num"])
     incoming = dedup.keep_last(
-        rows.where(F.col("file_id") == newest), ["natural_key"], sample.ORDER
+        rows.where(F.col("file_id") == newest), ["natural_key"], ["row_num"]
     )
     return history.merge(
         state.where("is_current"), incoming, PAYLOAD, F.lit(newest),
