@@ -11,7 +11,7 @@ from tideline.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tideline-tests", master="local[4]", spark__sql__shuffle__partitions=4,
+        "tideline-tests", master="local[4]", spark__sql__shuffle__partitions=2,
         spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")
