@@ -112,6 +112,7 @@ def test_ledger_steps_and_reports(spark, loaded):
     house = Warehouse(spark, root)
     row = house.ledger().where(F.col("file_id") == results[1]["file_id"]).first()
     assert row["notes"] == "new=1, updated=1, unchanged=1, skipped_missing_dims=0"
+    assert 0 < row["duration_seconds"] < 600 and row["finished_at"] > row["started_at"]
     assert row["checksum"] and row["file_size_bytes"] > 0 and row["storage_status"] == "success"
     assert json.loads(row["process_metrics"])["profile"]["natural_keys"] == 3
     assert json.loads(row["storage_paths"])["data_quality_json"]["path"] == (
