@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import json
 
@@ -81,6 +82,16 @@ def test_a_folder_is_numbered_through(spark, tmp_path, kind):
             ["0-0", "0-1", "0-2", "1-0", "2-0", "2-1", "2-2", "2-3"])]
 
 
+def test_a_packed_file_is_shared_out(spark, tmp_path):
+    lines = ["title", ",".join(REQUIRED), *[",".join(record(n)) for n in range(500)]]
+    with gzip.open(tmp_path / "p.csv.gz", "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    df = offers.read_offers(spark, str(tmp_path / "p.csv.gz"))
+    bad = df.where(F.col("provider") != F.concat(F.lit("nombre_ies "), F.col("row_num") - 1))
+    assert bad.count() == 0 and df.count() == 500
+    assert df.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_missing_columns(spark, tmp_path):
     path = write(tmp_path / "d.csv", [",".join(REQUIRED[:-1]), "1,2,3,4,5,6,7,8,9"])
     with pytest.raises(ValueError, match=r"Missing columns: \['ESTADO'\]"):

@@ -13,6 +13,9 @@ from ..contract import HEADER_SCAN, MISSING_TEXTS, REQUIRED, SOURCE_COLUMNS
 from ..functions.text import column_name, column_name_expr
 from ..operators.skew import lookup_join
 
+# Compressed files that cannot be split.
+PACKED = (".gz", ".deflate", ".snappy", ".lz4", ".zst")
+
 
 def canonical_names(names: Sequence[str]) -> list[str]:
     """Canonical column names; two originals that become one are an error."""
@@ -101,7 +104,12 @@ def number_rows(read: DataFrame, header: int = -1) -> DataFrame:
         # One file in one piece: the id is the position.
         pos = read.select(F.monotonically_increasing_id().alias("_pos"), "*")
         below = pos.where(F.col("_pos") > header)
-        return below.withColumn("row_num", F.col("_pos") - header).drop("_pos")
+        numbered = below.withColumn("row_num", F.col("_pos") - header).drop("_pos")
+        if not read.inputFiles()[0].endswith(PACKED):
+            return numbered
+        # A packed file may be large; one task reads it, the work on its rows is shared out.
+        cores = read.sparkSession.sparkContext.defaultParallelism
+        return numbered.repartition(cores, "row_num")
     block = ["_file", "_block"]
     located = read.select(
         F.col("_metadata.file_path").alias("_file"),
