@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import (
-    LOAD_METRICS, NATURAL_KEY, PROGRAM_KEY, RECENT_CHECKS, RECENT_ISSUES, REQUIRED,
-    RUN_STATES, SOURCE_COLUMNS, ddl,
+    LOAD_METRICS, NATURAL_KEY, PROGRAM_KEY, PROVIDER_KEY, RECENT_CHECKS, RECENT_ISSUES,
+    REQUIRED, RUN_STATES, SOURCE_COLUMNS, ddl,
 )
 from ..functions import structured
 from ..functions.keys import surrogate_id
@@ -468,14 +468,13 @@ def scd2_merge(spark, sf):
 # Quality -------------------------------------------------------------------------------------
 
 
-def _checked(spark, sf) -> DataFrame:
+def _checked(spark, sf, *extra: str) -> DataFrame:
     matched = territory.match_territory(_spoiled(spark, sf), sample.catalog(spark, sf))
     # Several rules read these rows.
     return stored(
         sample.keyed(matched).select(
             "file_id", "natural_key", "row_num", "row_hash", "status_norm", "provider", "program",
-            "province", "canton", "province_norm", "canton_norm", "field_norm", "level_norm",
-            "modality_norm", "program_norm", "provider_norm",
+            "province", "canton", "province_norm", "canton_norm", *extra,
         )
     )
 
@@ -822,7 +821,7 @@ def header_discovery(spark, sf):
 @query
 def dimension_counts(spark, sf):
     """Distinct dimension members per run, combinations with NULL parts included."""
-    return monitoring.dimension_counts(_checked(spark, sf))
+    return monitoring.dimension_counts(_checked(spark, sf, *PROVIDER_KEY, *PROGRAM_KEY))
 
 
 def _plain_runs(spark, sf) -> DataFrame:
