@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -32,3 +33,18 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(
         table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024
     )
+
+
+@query
+def op3_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again under the vocabulary with word ends."""
+    from .bpe import bpe_decode, bpe_encode
+
+    path = tokenizer_file("word_bpe_49k.json")
+    decoded = bpe_decode(bpe_encode(table(spark, folder, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
