@@ -48,3 +48,19 @@ def op3_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Text counts and the verdict on every document."""
+    from .quality import quality_rules
+
+    return quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    from .language import identify_languages
+
+    return identify_languages(table(spark, folder, "documents"))
