@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +66,114 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from .language import identify_languages
 
     return identify_languages(table(spark, folder, "documents"))
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents are equal, and which one of each group stays."""
+    from .exact import exact_dedup
+
+    return exact_dedup(table(spark, folder, "documents"))
+
+
+ORACLE["op5_exact_dedup"] = r"""
+WITH t AS (
+    SELECT doc_id,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
+    FROM documents)
+SELECT doc_id,
+       min(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       sha256(body) AS text_sha256
+FROM t
+WINDOW same AS (PARTITION BY body)
+"""
+
+
+@query
+def op8_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a WARC record, and what the archive gives back."""
+    from .warc import read_archive, write_archive
+
+    path = f"{scratch_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    write_archive(table(spark, folder, "pages"), path)
+    return read_archive(spark, path).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        "payload_digest", "record_type", "refers_to",
+    )
+
+
+ORACLE["op8_warc_archive"] = r"""
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex
+    FROM pages),
+q AS (
+    SELECT *, max(page_id) OVER (PARTITION BY body) AS top FROM p),
+d AS (
+    SELECT *, list_transform(range(0, 8), lambda i: ('0x' || substr(hex, CAST(5 * i + 1 AS INT), 5))::INT)
+              AS parts
+    FROM q)
+SELECT page_id,
+       CAST(octet_length(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((parts[i // 4 + 1] >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
+
+#: Of a thousand slots, what each source is to fill; all other sources share the rest.
+MIXTURE = {f"src{i}": 60 - 2 * i for i in range(10)}
+MIXTURE_OTHER = 1000 - sum(MIXTURE.values())
+MIXTURE_BLOCK = 64
+
+
+@query
+def op2_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in a mixture of the sources by weight."""
+    from .mixing import mix_sources
+
+    docs = table(spark, folder, "documents")
+    return mix_sources(docs, MIXTURE, MIXTURE_OTHER, MIXTURE_BLOCK)
+
+
+ORACLE["op2_source_mixture"] = f"""
+WITH RECURSIVE w AS (
+    SELECT {[*MIXTURE.values(), MIXTURE_OTHER]} AS share, {[*MIXTURE]} AS names),
+run AS (
+    SELECT 0 AS t, list_transform(share, lambda x: 0) AS sent, NULL::INT AS pick FROM w
+    UNION ALL
+    SELECT t + 1, list_transform(sent, lambda n, i: n + CASE WHEN i = best THEN 1 ELSE 0 END), best
+    FROM (
+        SELECT t, sent, CAST(list_min(list_transform(sent, lambda n, i:
+            CASE WHEN n < share[i] AND n * 1000 // share[i] <= t
+                 THEN ((n + 1) * 1000 + share[i] - 1) // share[i] * 100 + i END)) % 100 AS INT)
+            AS best
+        FROM run, w WHERE t < 1000)),
+plan AS (
+    SELECT a.t - 1 AS slot, a.pick AS k, b.sent AS before, b.sent[a.pick] AS nth
+    FROM run a JOIN run b ON b.t = a.t - 1),
+docs AS (
+    SELECT doc_id, source, coalesce(list_position(names, source), len(share)) AS k, share
+    FROM documents, w),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1 AS n
+    FROM docs),
+blocks AS (SELECT *, n // {MIXTURE_BLOCK} AS block, n % {MIXTURE_BLOCK} AS place FROM numbered),
+sizes AS (
+    SELECT list(coalesce(c, 0) ORDER BY i) AS ends
+    FROM (SELECT unnest(range(1, len(share) + 1)) AS i FROM w)
+    LEFT JOIN (SELECT k, count(*) AS c FROM docs GROUP BY k) ON k = i)
+SELECT doc_id, source, block,
+       block // share[b.k] * 1000 + nth * 1000 // share[b.k] AS release,
+       block // share[b.k] * 1000 + ((nth + 1) * 1000 + share[b.k] - 1) // share[b.k] AS deadline,
+       block // share[b.k] * 1000 + slot AS slot,
+       CAST(place + list_sum(list_transform(share, lambda x, i: least(
+           ends[i], (block // share[b.k] * x + before[i]) * {MIXTURE_BLOCK}))) AS BIGINT)
+           AS position
+FROM blocks b JOIN plan ON plan.k = b.k AND plan.nth = block % share[b.k], sizes
+"""
