@@ -177,3 +177,89 @@ SELECT doc_id, source, block,
            AS position
 FROM blocks b JOIN plan ON plan.k = b.k AND plan.nth = block % share[b.k], sizes
 """
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets in every document, and which of them their owners alone have."""
+    from .secrets import listed, scan_secrets
+
+    found = scan_secrets(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex",
+        F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        "n_copied", "n_live",
+    )
+
+
+ORACLE["op7_secret_scan"] = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS body FROM documents),
+forms(kind, rank, pattern, part, least) AS (VALUES
+    ('assign', 0, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    ('access', 1, 'AKIA[A-Z0-9]+', 0, 20),
+    ('hex', 2, '[0-9a-f]+', 0, 24),
+    ('live', 3, '[A-Za-z0-9+_-]+', 0, 16)),
+parts AS (
+    SELECT doc_id, source, 'assign' AS kind,
+           unnest(string_split_regex(body, (SELECT pattern FROM forms WHERE rank = 0))) AS gap,
+           unnest(regexp_extract_all(body, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0)) AS hit,
+           unnest(regexp_extract_all(body, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)) AS value,
+           unnest(range(1, 2 + len(regexp_extract_all(body, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0)))) AS i
+    FROM d
+    UNION ALL
+    SELECT doc_id, source, 'access', unnest(string_split_regex(body, 'AKIA[A-Z0-9]+')),
+           unnest(regexp_extract_all(body, 'AKIA[A-Z0-9]+')),
+           unnest(regexp_extract_all(body, 'AKIA[A-Z0-9]+')),
+           unnest(range(1, 2 + len(regexp_extract_all(body, 'AKIA[A-Z0-9]+'))))
+    FROM d
+    UNION ALL
+    SELECT doc_id, source, 'hex', unnest(string_split_regex(body, '[0-9a-f]+')),
+           unnest(regexp_extract_all(body, '[0-9a-f]+')),
+           unnest(regexp_extract_all(body, '[0-9a-f]+')),
+           unnest(range(1, 2 + len(regexp_extract_all(body, '[0-9a-f]+'))))
+    FROM d
+    UNION ALL
+    SELECT doc_id, source, 'live', unnest(string_split_regex(body, '[A-Za-z0-9+_-]+')),
+           unnest(regexp_extract_all(body, '[A-Za-z0-9+_-]+')),
+           unnest(regexp_extract_all(body, '[A-Za-z0-9+_-]+')),
+           unnest(range(1, 2 + len(regexp_extract_all(body, '[A-Za-z0-9+_-]+'))))
+    FROM d),
+ends AS (
+    SELECT doc_id, source, kind, value, length(hit) AS n,
+           sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop
+    FROM parts WHERE hit IS NOT NULL),
+spans AS (
+    SELECT doc_id, source, e.kind, rank, value, CAST(stop - n AS BIGINT) AS start,
+           CAST(stop AS BIGINT) AS stop
+    FROM ends e JOIN forms f ON f.kind = e.kind
+    WHERE length(value) >= least
+      AND (rank < 3 OR regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]'))),
+cands AS (
+    SELECT * FROM spans s
+    WHERE rank < 3 OR NOT EXISTS (
+        SELECT 1 FROM spans b
+        WHERE b.rank < 3 AND b.doc_id = s.doc_id AND b.start < s.stop AND s.start < b.stop)),
+freq AS (
+    SELECT value, count(DISTINCT coalesce(source, '(none)')) AS owners, bool_or(rank < 3) AS known
+    FROM cands GROUP BY value),
+judged AS (
+    SELECT c.*, owners <= 2 AS few
+    FROM cands c JOIN freq f USING (value)
+    WHERE rank < 3
+       OR owners <= 2 AND (known OR len(list_distinct(string_split(value, ''))) >= 12)),
+sums AS (
+    SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+           count(*) FILTER (rank = 2) AS n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)
+               FILTER (rank < 3) AS base,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+           count(*) FILTER (rank < 3 AND NOT few) AS n_copied,
+           count(*) FILTER (rank < 3 AND few) AS n_live
+    FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied,
+       coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN sums USING (doc_id)
+"""
