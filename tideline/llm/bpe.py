@@ -28,10 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import ship
-from .tokens import visible_bytes
+from .tokens import byte_slices, visible_bytes
+from .words import utf8
 
-KNOWN_RUNS = 400_000
-KNOWN_PAIRS = 1_000_000
+#: Bytes of text or ids that are worked on at once.
+SLICE_BYTES = 4 << 20
+KNOWN_RUNS = 200_000
+KNOWN_PAIRS = 200_000
 RUN_BYTES = 64
 
 _open: dict[str, "Codec"] = {}
@@ -101,6 +104,40 @@ class Merges:
         return fits
 
 
+    def short(self, symbols: str, suffix: str) -> list[str]:
+        """Tokens of a word that the lookahead covers whole, the longest fitting one first.
+
+        There is only one way to any position on which all neighbours fit, so no position is
+        come to twice.
+        """
+        parts, pairs, reach = self.parts, self.pairs, self.lookahead
+        path: list[str] = []
+        before, at, end = None, 0, len(symbols)
+        size = min(reach, end)
+        while at < end:
+            while size:
+                token = symbols[at : at + size]
+                if at + size == end:
+                    token += suffix
+                if token in parts:
+                    fit = pairs.get((before, token))
+                    if fit or fit is None and self.fits(before, token):
+                        break
+                size -= 1
+            if size:
+                path.append(token)
+                at += size
+                before, size = token, min(reach, end - at)
+            elif path:
+                size = len(parts[path.pop()])
+                at -= size
+                size -= 1
+                before = path[-1] if path else None
+            else:
+                raise ValueError(f"no tokens make {symbols!r}")
+        return path
+
+
 class Transducer:
     """Reads the symbols of one word in pieces of any size and gives tokens once stable."""
 
@@ -188,6 +225,7 @@ class Codec:
         plain = split.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
         self.plain_words = re.compile(plain, re.ASCII).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
+        self.packed = {t: np.int32(i).tobytes() for t, i in self.ids.items()}
         self.runs: dict[bytes, bytes] = {}
         self.old_runs: dict[bytes, bytes] = {}
         self.known: dict[str, bytes] = {}
@@ -205,8 +243,11 @@ class Codec:
         symbols = word if mapped or word.isprintable() else word.translate(self.table)
         found = self.known.get(symbols)
         if found is None:
-            tokens = Transducer(self.merges, self.suffix).feed(symbols, final=True)
-            found = np.array([self.ids[t] for t in tokens], np.int32).tobytes()
+            if len(symbols) <= self.merges.lookahead:
+                tokens = self.merges.short(symbols, self.suffix)
+            else:
+                tokens = Transducer(self.merges, self.suffix).feed(symbols, final=True)
+            found = b"".join(map(self.packed.__getitem__, tokens))
             if len(symbols) <= RUN_BYTES:
                 if len(self.known) >= KNOWN_RUNS:
                     self.known.clear()
@@ -276,16 +317,18 @@ def bpe_encode(
     def run(batches):
         model = codec(tokenizer)
         for batch in batches:
-            found = [
-                model.encode(x.as_buffer().to_pybytes()) if x.is_valid else b""
-                for x in batch.column("text")
-            ]
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-            ids = pa.Array.from_buffers(
-                pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))]
-            )
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=[id_col, "ids"])
+            texts = batch.column("text")
+            sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in texts]
+            for a, b in byte_slices(sizes, SLICE_BYTES):
+                found = [model.encode(utf8(x)) for x in texts[a:b]]
+                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                ids = pa.Array.from_buffers(
+                    pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))]
+                )
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id")[a:b], lists], names=[id_col, "ids"]
+                )
 
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
@@ -311,12 +354,15 @@ def bpe_decode(
         model = codec(tokenizer)
         back = model.text if readable else model.decode
         for batch in batches:
-            texts = []
-            for x in batch.column("ids"):
-                texts.append(back(x.values.to_numpy().tolist()) if x.is_valid else "")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())],
-                names=[id_col, "ids", "decoded"],
-            )
+            lists = batch.column("ids")
+            sizes = [4 * (n or 0) for n in lists.value_lengths().to_pylist()]
+            for a, b in byte_slices(sizes, SLICE_BYTES):
+                texts = [
+                    back(x.values.to_numpy().tolist()) if x.is_valid else "" for x in lists[a:b]
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id")[a:b], lists[a:b], pa.array(texts, pa.string())],
+                    names=[id_col, "ids", "decoded"],
+                )
 
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
