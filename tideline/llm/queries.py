@@ -263,3 +263,41 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        coalesce(n_live, 0) AS n_live
 FROM d LEFT JOIN sums USING (doc_id)
 """
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents are near copies of one another, by links of any length."""
+    from .jaccard import jaccard_join
+
+    return jaccard_join(table(spark, folder, "documents"))
+
+
+ORACLE["op9_ngram_jaccard"] = r"""
+WITH RECURSIVE t AS (
+    SELECT doc_id, list_filter(
+               string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+               lambda w: w <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                          lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s
+    FROM t),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n
+    HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
