@@ -301,3 +301,39 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without passages that stand elsewhere too."""
+    from .substrings import dedup_substrings
+
+    found = dedup_substrings(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op1_substring_dedup"] = r"""
+WITH t AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS w
+    FROM documents),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 33)) AS s,
+           unnest(list_transform(range(1, len(w) - 33),
+                                 lambda i: md5(array_to_string(w[i:i + 34], ' ')))) AS h
+    FROM t WHERE len(w) >= 35),
+repeated AS (
+    SELECT doc_id, s FROM windows
+    WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS i FROM repeated),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM t),
+sums AS (
+    SELECT doc_id, count(gone.i) AS n_removed,
+           string_agg(word, ' ' ORDER BY i) FILTER (gone.i IS NULL) AS kept
+    FROM words LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN sums USING (doc_id)
+"""
