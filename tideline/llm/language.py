@@ -29,6 +29,8 @@ REJECT_SHARE = 0.35
 #: over this many.
 FULL_NGRAMS = 600
 UNKNOWN = "und"
+#: Parts in which the rows of one label are looked through.
+SLICES = 256
 
 _SIZES = (1, 2, 3)
 _alpha: list[np.ndarray] = []
@@ -147,11 +149,16 @@ def train(
     Ids and labels alone decide on the sample, and only as many are kept as it takes; so the
     ids are broadcast, and their n-grams counted where the texts are.
     """
-    key = F.struct(token(F.col("id")), "id")
     named = docs.select(docs[id_col].alias("id"), docs[lang_col].alias("lang"))
     named = named.where("lang IS NOT NULL AND id IS NOT NULL").where(~held_out(F.col("id")))
-    first = Window.partitionBy("lang").orderBy(key)
-    chosen = named.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows_per_language)
+    named = named.withColumn("place", token(F.col("id")))
+    # The first rows of every slice of the hash hold the first rows of all.
+    slice_ = F.pmod("place", F.lit(SLICES))
+    for part in (["lang", slice_], ["lang"]):
+        first = Window.partitionBy(*part).orderBy("place", "id")
+        named = named.withColumn("n", F.row_number().over(first))
+        named = named.where(F.col("n") <= rows_per_language).drop("n")
+    chosen = named
     chosen = chosen.select(F.col("id").alias("sample"), F.col("lang").alias("label")).distinct()
     texts = docs.select(docs[id_col].alias("id"), docs[lang_col].alias("lang"),
                         docs[text_col].alias("text"))
@@ -186,6 +193,26 @@ def held_out(ids):
     return F.pmod(F.crc32(F.coalesce(ids.cast("string"), F.lit(""))), F.lit(4)) == 2
 
 
+def drop_rejected(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs`` that ``identify_languages`` doesn't reject, with all their columns."""
+    spark = docs.sparkSession
+    ship(spark)
+    model = spark.sparkContext.broadcast(
+        train(docs, id_col, text_col, lang_col, ROWS_PER_LANGUAGE)
+    )
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        centroids = model.value
+        for batch in batches:
+            good = [not centroids.classify(x.as_py())[2] for x in batch.column(place)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify_languages(
     docs: DataFrame,
     id_col: str = "doc_id",
