@@ -22,10 +22,10 @@ BUCKET_BITS = 16
 #: Labelled documents the trusted multinomial is counted from, at most: those of the smallest
 #: hashed ids.
 TRUSTED_ROWS = 20_000
-#: Added to every bucket of both multinomials, as a share of the mean count of a bucket.
-SMOOTHING = 0.1
+#: Added to every bucket of both multinomials, in n-grams of the trusted text.
+PSEUDO_COUNT = 30
 #: In natural logarithms per n-gram.
-MIN_SCORE = -0.1
+MIN_SCORE = -0.06
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -104,17 +104,12 @@ def bucket_counts(
 
 
 def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """Per bucket, the logarithm of its trusted share over its raw share, both smoothed.
-
-    Without trusted text there is nothing to compare with, and all ratios are zero.
+    """Per bucket, the logarithm of its trusted count over the count that its raw share lets
+    expect, with ``PSEUDO_COUNT`` added to both: what is rare in so small a trusted text says
+    little. Without trusted text there is nothing to compare with, and all ratios are zero.
     """
-    if not good.sum():
-        return np.zeros(len(raw))
-    shares = []
-    for counts in (good, raw):
-        smooth = counts + SMOOTHING * counts.sum() / len(counts)
-        shares.append(smooth / smooth.sum())
-    return np.log(shares[0]) - np.log(shares[1])
+    expected = raw * (good.sum() / max(1, raw.sum()))
+    return np.log(good + PSEUDO_COUNT) - np.log(expected + PSEUDO_COUNT)
 
 
 def quality_rules(
