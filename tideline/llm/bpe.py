@@ -33,7 +33,8 @@ from .words import utf8
 
 #: Bytes of text or ids that are worked on at once.
 SLICE_BYTES = 4 << 20
-KNOWN_RUNS = 200_000
+KNOWN_RUNS = 500_000
+KNOWN_WORDS = 150_000
 KNOWN_PAIRS = 200_000
 RUN_BYTES = 64
 
@@ -52,6 +53,11 @@ class Merges:
             self.made.setdefault(a + b, (a, b))
         #: Symbols that must follow a position before nothing more can reach back over it.
         self.lookahead = max(map(len, self.parts.values()))
+        #: The longest token by its first three symbols, as characters.
+        self.longest: dict[str, int] = {}
+        for parts in self.parts.values():
+            start = "".join(x[0] for x in parts[:3])
+            self.longest[start] = max(len(parts), self.longest.get(start, 0))
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self._edges: tuple[dict, dict] = ({}, {})
 
@@ -110,11 +116,13 @@ class Merges:
         There is only one way to any position on which all neighbours fit, so no position is
         come to twice.
         """
-        parts, pairs, reach = self.parts, self.pairs, self.lookahead
+        parts, pairs, longest = self.parts, self.pairs, self.longest.get
         path: list[str] = []
         before, at, end = None, 0, len(symbols)
-        size = min(reach, end)
+        size = longest(symbols[:3], 2)
         while at < end:
+            if size > end - at:
+                size = end - at
             while size:
                 token = symbols[at : at + size]
                 if at + size == end:
@@ -127,7 +135,7 @@ class Merges:
             if size:
                 path.append(token)
                 at += size
-                before, size = token, min(reach, end - at)
+                before, size = token, longest(symbols[at : at + 3], 2)
             elif path:
                 size = len(parts[path.pop()])
                 at -= size
@@ -249,7 +257,7 @@ class Codec:
                 tokens = Transducer(self.merges, self.suffix).feed(symbols, final=True)
             found = b"".join(map(self.packed.__getitem__, tokens))
             if len(symbols) <= RUN_BYTES:
-                if len(self.known) >= KNOWN_RUNS:
+                if len(self.known) >= KNOWN_WORDS:
                     self.known.clear()
                 self.known[symbols] = found
         return found
