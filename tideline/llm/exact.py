@@ -132,8 +132,11 @@ def exact_dedup(
     no task holds the rows of a large group.
     """
     rows = stored(identities(docs, id_col, text_col, block_chars))
-    groups = rows.groupBy("n_blocks", "name").agg(
-        F.min("id").alias("keep_id"), F.sum("copies").alias("group_size")
+    # As a table of its own the join's other side can be split where a group is large.
+    groups = stored(
+        rows.groupBy("n_blocks", "name").agg(
+            F.min("id").alias("keep_id"), F.sum("copies").alias("group_size")
+        )
     )
     found = rows.join(groups, ["n_blocks", "name"])
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))
