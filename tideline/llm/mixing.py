@@ -22,7 +22,7 @@ from .common import token
 BLOCK_DOCS = 64
 #: The sum of all weights, at most; the schedule of one period has as many rows.
 MAX_PERIOD = 10_000
-#: Documents that are numbered together in one task, about.
+#: Documents that are numbered together in one range of the order, about.
 NUMBERED_ROWS = 100_000
 
 
@@ -106,8 +106,8 @@ def placed(docs: DataFrame, weights: dict[str, int], other: int, block_docs: int
         source.alias("k"),
         order_key(docs, id_col).alias("key"),
     )
-    # Ranges of the key hold about NUMBERED_ROWS rows of all sources together.
-    total, digits = docs.count(), 1
+    # Ranges of the key, 256 or more, hold NUMBERED_ROWS rows of all sources together at most.
+    total, digits = docs.count(), 2
     while total / 16**digits > NUMBERED_ROWS:
         digits += 1
     keyed = keyed.withColumn("part", F.substring("key", 1, digits))
