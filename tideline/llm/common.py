@@ -51,3 +51,35 @@ def equal_or_null(left: Column, right: Column) -> Column:
 def token(value: Column, seed: int = 0) -> Column:
     """A 64-bit hash that spreads rows; never used as proof of equality."""
     return F.xxhash64(F.lit(seed), value)
+
+
+#: Bits that ids are marked in; 1,024 rows of 4 KB at most, whatever the number of ids.
+MARK_BITS = 1 << 25
+
+
+def _place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(MARK_BITS)) + 1
+
+
+def maybe_in(rows: DataFrame, key: Column, ids: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` with ``_maybe``: false where ``key`` is surely not in ``ids``.
+
+    Hashes of the ids are marked in a bit map of fixed size, which is broadcast. So only rows
+    that may be among the ids have to travel to an exact join with them; the more ids there are
+    for the map, the more rows may.
+    """
+    marks = ids.select(_place(F.col(id_col)).alias("_x"))
+    marks = marks.groupBy(F.bitmap_bucket_number("_x").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_x")).alias("_bits")
+    )
+    place = _place(key)
+    placed = rows.withColumns(
+        {"_in": F.bitmap_bucket_number(place), "_at": F.bitmap_bit_position(place).cast("int")}
+    )
+    found = placed.join(F.broadcast(marks), F.col("_in") == F.col("_bucket"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.expr("_at div 8 + 1"), F.lit(1))), 16, 10)
+    bit = F.expr("shiftleft(1, _at % 8)")
+    test = byte.cast("int").bitwiseAND(bit) != 0
+    return found.withColumn("_maybe", F.coalesce(test, F.lit(False))).drop(
+        "_in", "_at", "_bucket", "_bits"
+    )

@@ -39,14 +39,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = stored(least.select("u", F.least("u", "m").alias("m")))
     found = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return found.where("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # All neighbours are smaller here: u > v.
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")))
     found = edges.join(least, "u")
     rewired = found.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rewired.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import SPACE
+from .common import SPACE, maybe_in
 
 BLOCK_CHARS = 4096
 _KEY = ("id", "digest")
@@ -157,13 +157,24 @@ def keep_first(
     Of rows that agree in id and text any one stays.
     """
     decided = stored(exact_dedup(docs, id_col, text_col))
-    kept = decided.where("kept").select(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest")
+    rows = decided.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest")).agg(
+        F.count("*").alias("copies"), F.max("kept").alias("kept")
     )
-    repeated = decided.groupBy(id_col, "text_sha256").count().where("count > 1")
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (
-        F.sha2(normalised(docs[text_col]), 256) == F.col("_digest")
+    # All but few documents stay as they are, and those need not travel.
+    changed = stored(rows.where("NOT kept OR copies > 1").withColumn("_key", _row_key("_id", "_digest")))
+    marked = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        docs[id_col].alias("id"),
+        F.sha2(normalised(docs[text_col]), 256).alias("digest"),
     )
-    if repeated.isEmpty():
-        return docs.join(kept, same, "left_semi")
-    return docs.join(kept, same).dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    marked = maybe_in(marked, _row_key("id", "digest"), changed, "_key")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    doubtful = marked.where("_maybe").join(changed, same, "left")
+    alone = doubtful.where("kept IS NULL").select("row")
+    one = doubtful.where("kept").select("id", "digest", "row").dropDuplicates(["id", "digest"])
+    found = marked.where("NOT _maybe").select("row").unionByName(alone)
+    return found.unionByName(one.select("row")).select("row.*")
+
+
+def _row_key(id_col: str, digest: str):
+    return F.xxhash64(id_col, digest)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import ship
+from .common import maybe_in, ship
 from .components import components
 from .words import mixed, utf8, window_hashes, word_hashes
 
@@ -117,51 +117,61 @@ def sketches(docs: DataFrame, level, size: int, percent: int, prefixes: bool) ->
     return docs.mapInArrow(run, f"id {ids}, n bigint, key binary{more}")
 
 
-def whole_sets(docs: DataFrame, level, size: int, percent: int) -> DataFrame:
-    """``rep``, the set's ``tokens`` and its prefixes under the other orders."""
-    names = [f"p{i}" for i in range(1, ORDERS)]
+def whole_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``rep`` and the set's ``tokens``."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(utf8(x), size) for x in batch.column("text")]
-            columns = [[s.view(np.int64) for s in sets]]
-            for i in range(1, ORDERS):
-                columns.append([prefix(s, level.value, i, percent).view(np.int64) for s in sets])
+            sets = [shingles(utf8(x), size).view(np.int64) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), *(pa.array(c, pa.list_(pa.int64())) for c in columns)],
-                names=["rep", "tokens", *names],
+                [batch.column("rep"), pa.array(sets, pa.list_(pa.int64()))],
+                names=["rep", "tokens"],
             )
 
-    kinds = ", ".join(f"{c} array<bigint>" for c in ["tokens", *names])
-    return docs.select("rep", "text").mapInArrow(run, f"rep bigint, {kinds}")
+    return docs.select("rep", "text").mapInArrow(run, "rep bigint, tokens array<bigint>")
 
 
-def candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` that share enough tokens of their prefixes.
+def plausible(counts: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share enough tokens of their prefixes: ``a``, ``b`` and ``c``, how many.
 
-    ``shared`` has a row per pair and token it shares, with the sizes ``n`` of ``a`` and ``m``.
+    ``counts`` has ``c`` and the sizes ``n`` of ``a`` and ``m`` of ``b``.
     """
-    counts = shared.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"))
     least = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
     left = F.ceil(percent * F.greatest("n", "m") / 100) - 1
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return counts.where(fits & (F.col("c") + left >= least)).select("a", "b").distinct()
+    return counts.where(fits & (F.col("c") + left >= least)).select("a", "b", "c")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, tested on the other orders first."""
+def similar(a: np.ndarray, b: np.ndarray, level: np.ndarray, percent: int) -> bool:
+    """Whether two sets are similar enough; first, whether their prefixes under the other
+    orders have a token in common."""
+    shared = np.intersect1d(a, b, assume_unique=True)
+    for order in range(1, ORDERS):
+        one, two = (prefix(x, level, order, percent) for x in (a, b))
+        if not np.intersect1d(one, two, assume_unique=True).size:
+            return False
+    return 100 * len(shared) >= percent * (len(a) + len(b) - len(shared))
 
-    def side(name: str) -> DataFrame:
-        return sets.select(*[F.col(c).alias(f"{c}_{name}") for c in sets.columns])
 
-    both = pairs.join(side("a"), F.col("a") == F.col("rep_a")).join(
-        side("b"), F.col("b") == F.col("rep_b")
-    )
-    for i in range(1, ORDERS):
-        both = both.where(F.arrays_overlap(f"p{i}_a", f"p{i}_b"))
-    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    union = F.size("tokens_a") + F.size("tokens_b") - shared
-    return both.where(100 * shared >= percent * union).select("a", "b")
+def verified(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets are similar enough."""
+    one = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x"))
+    two = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y"))
+    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
+
+    def run(batches):
+        for batch in batches:
+            x, y = (batch.column(c) for c in ("x", "y"))
+            good = [
+                similar(
+                    p.values.to_numpy().view(np.uint64), q.values.to_numpy().view(np.uint64),
+                    level.value, percent,
+                )
+                for p, q in zip(x, y)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def linked(
@@ -173,33 +183,44 @@ def linked(
     known beforehand.
     """
     tokens = reps.select("rep", "n", F.explode("p0").alias("t"))
-    repeated = tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t")
-    rows = stored(tokens.join(repeated, "t", "left_semi"))
+    # The pivot of a token: the smallest representative that has it.
+    repeated = tokens.groupBy("t").agg(F.count("*").alias("c"), F.min("rep").alias("pivot"))
+    repeated = stored(repeated.where("c > 1").select("t", "pivot"))
+    rows = stored(tokens.join(repeated, "t"))
+    sizes = reps.select("rep", F.col("n").alias("size"))
 
     def with_sets(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("rep")).unionByName(
             pairs.select(F.col("b").alias("rep"))
         )
-        texts = docs.join(wanted.distinct(), "rep", "left_semi")
-        return verified(pairs, stored(whole_sets(texts, level, size, percent)), percent)
-
-    # The pivot of a token: the smallest representative that has it.
-    pivots = rows.groupBy("t").agg(F.min(F.struct("rep", "n")).alias("pivot"))
-    pivots = pivots.select("t", F.col("pivot.rep").alias("a"), F.col("pivot.n").alias("n"))
-    first = rows.select("t", F.col("rep").alias("b"), F.col("n").alias("m")).join(pivots, "t")
-    first = stored(candidates(first.where("a < b"), percent))
+        wanted = stored(wanted.distinct())
+        texts = maybe_in(docs, F.col("rep"), wanted, "rep").where("_maybe").drop("_maybe")
+        texts = texts.join(wanted, "rep", "left_semi")
+        return verified(pairs, stored(whole_sets(texts, size)), level, percent)
+
+    with_pivot = rows.where("pivot < rep").groupBy(
+        F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("n").alias("m")
+    ).agg(F.count("*").alias("c"))
+    with_pivot = with_pivot.join(sizes.toDF("a", "n"), "a")
+    # The pivot with which most tokens are shared is enough here; the second turn has the rest.
+    first = plausible(with_pivot, percent).groupBy("b").agg(F.max_by("a", F.struct("c", "a")))
+    first = stored(first.toDF("b", "a").select("a", "b"))
     links = stored(with_sets(first).unionByName(extra))
     group = stored(components(links))
 
     # What has a token in common across components, and was not compared yet.
     named = rows.join(group, F.col("rep") == F.col("node"), "left").select(
-        "t", "rep", "n", F.coalesce("component", "rep").alias("g")
+        "t", "rep", "n", "pivot", F.coalesce("component", "rep").alias("g")
     )
-    across = named.groupBy("t").agg(F.min("g").alias("x"), F.max("g").alias("y"))
-    named = stored(named.join(across.where("x != y").select("t"), "t", "left_semi"))
-    one = named.select("t", F.col("rep").alias("a"), "n", F.col("g").alias("ga"))
-    two = named.select("t", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("g").alias("gb"))
-    second = candidates(one.join(two, "t").where("a < b AND ga != gb"), percent)
+    of_pivot = group.select(F.col("node").alias("pivot"), F.col("component").alias("pg"))
+    strange = named.join(of_pivot, "pivot", "left").where("g != coalesce(pg, pivot)")
+    across = stored(strange.select("t").distinct())
+    open_ = stored(named.join(across, "t", "left_semi").drop("pivot"))
+    one = open_.select("t", F.col("rep").alias("a"), "n", F.col("g").alias("ga"))
+    two = open_.select("t", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("g").alias("gb"))
+    shared = one.join(two, "t").where("a < b AND ga != gb")
+    shared = shared.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"))
+    second = plausible(shared, percent).select("a", "b").distinct()
     second = stored(second.join(first, ["a", "b"], "left_anti"))
     return components(links.unionByName(with_sets(second)))
 
@@ -239,8 +260,10 @@ def jaccard_join(
 
     known = source.where("id IS NOT NULL")
     reps = sketches(known, level, size, percent, prefixes=True).where("n > 0")
-    reps = reps.groupBy("key", "n").agg(
-        F.min("id").alias("rep"), F.any_value("p0").alias("p0")
+    reps = stored(
+        reps.groupBy("key", "n").agg(F.min("id").alias("rep"), F.any_value("p0").alias("p0")).drop(
+            "key"
+        )
     )
     texts = known.withColumnRenamed("id", "rep")
     found = linked(reps, texts, extra, level, size, percent)
@@ -263,4 +286,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     found = stored(jaccard_join(docs, id_col, text_col))
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id"))
-    return docs.join(gone.distinct(), docs[id_col].cast("bigint") == F.col("_id"), "left_anti")
+    gone = stored(gone.distinct())
+    key = docs[id_col].cast("bigint")
+    marked = maybe_in(docs.select(F.struct(*docs.columns).alias("row"), key.alias("key")),
+                      F.col("key"), gone, "_id")
+    doubtful = marked.where("_maybe").join(gone, F.col("key") == F.col("_id"), "left_anti")
+    return marked.where("NOT _maybe").unionByName(doubtful).select("row.*")

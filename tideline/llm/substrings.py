@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import equal_or_null, ship
+from .common import equal_or_null, maybe_in, ship
 from .words import mixed, utf8, window_hashes, word_hashes
 
 WINDOW_WORDS = 35
@@ -36,6 +36,8 @@ SHARD_WORDS = 50_000
 #: Segments of one anchor that are more than this are counted by window.
 COUNTED_SEGMENTS = 2_000
 
+SPANS = "array<struct<first:int,last:int>>"
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -195,7 +197,8 @@ def _words_of(docs: DataFrame, lists: DataFrame, window: int) -> DataFrame:
     """The words of listed segments: ``g``, ``id``, ``h``, ``first``, ``words``; of anchors to be
     counted, a row per window instead, with its hash in ``g`` and no words."""
     kind = docs.schema["id"].dataType.simpleString()
-    wanted = _joined(docs, lists, "inner").select("id", "h", "text", "listed")
+    some = maybe_in(docs, _row_key(), lists, "key").where("_maybe").drop("_maybe")
+    wanted = _joined(some, lists.drop("key"), "inner").select("id", "h", "text", "listed")
 
     def run(batches):
         for batch in batches:
@@ -263,18 +266,22 @@ def _in_shards(segments: DataFrame, window: int) -> DataFrame:
 
 
 def _joined(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """``docs`` with what ``found`` has for their key; the same exchange of ``docs`` each time."""
+    """``docs`` with what ``found`` has for their key."""
     found = found.withColumnsRenamed({"id": "_id", "h": "_h"})
     key = equal_or_null(F.col("id"), F.col("_id")) & (F.col("h") == F.col("_h"))
     return docs.join(found, key, how).drop("_id", "_h")
 
 
+def _row_key():
+    return F.xxhash64("id", "h")
+
+
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """``id``, ``h`` and the first and last window of runs that occur elsewhere too."""
     occurring = _segments(docs.select("id", "h", "text"), window, places=False).groupBy("g").agg(
         F.count("*").alias("n"), (F.min("c") == F.max("c")).alias("equal")
     )
-    several = occurring.where("n > 1")
+    several = stored(occurring.where("n > 1"))
     places = _segments(docs.select("id", "h", "text"), window, places=True)
     found = stored(places.join(several, "g"))
 
@@ -284,6 +291,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     open_ = found.where("NOT equal").groupBy("id", "h").agg(
         F.collect_set(F.struct("g", "first", "last", counted.alias("counted"))).alias("listed")
     )
+    open_ = stored(open_.withColumn("key", _row_key()))
     words = stored(_words_of(docs, open_, window))
     by_shard = _in_shards(words.where("words IS NOT NULL"), window)
 
@@ -321,7 +329,12 @@ def dedup_substrings(
     spans = repeated_windows(source, window).groupBy("id", "h").agg(
         F.collect_list(F.struct("first", "last")).alias("spans")
     )
-    marked = _joined(source, spans, "left").select("id", "h", "text", "spans")
+    spans = stored(spans.withColumn("key", _row_key()))
+    # Most documents have nothing repeated, and need not travel.
+    marked = maybe_in(source, _row_key(), spans, "key")
+    whole = marked.where("NOT _maybe").select("text", "id", F.lit(None).cast(SPANS).alias("spans"))
+    some = _joined(marked.where("_maybe"), spans.drop("key"), "left")
+    marked = whole.unionByName(some.select("text", "id", "spans"))
 
     def run(batches):
         for batch in batches:
