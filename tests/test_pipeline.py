@@ -14,9 +14,9 @@ from tideline.streaming import arrivals
 CATALOG = [("El Oro", "Machala"), ("El Oro", "Zaruma"), ("Loja", "Loja"), ("Pichincha", "Quito")]
 
 
-def offer(provider="Uni Á", program="Sistemas", province="El Oro", canton="Machala",
-          status="Vigente", kind="Pública", modality="Presencial"):
-    return [provider, kind, "Estatal", program, "Tecnologías", "Grado", modality, province,
+def offer(provider="Uni Á", program="Química", province="El Oro", canton="Machala",
+          status="Vigente", kind="Mixta", modality="Nocturna"):
+    return [provider, kind, "Propios", program, "Ciencias", "Corto", modality, province,
             canton, status]
 
 
@@ -80,7 +80,7 @@ def test_second_run_versions(spark, loaded):
         (naive[0], naive[1], False, "Vigente"), (naive[1], naive[1], True, "Cerrada")]
     assert law[0]["last_file_id"] == results[1]["file_id"]
     seen = {v["natural_key"]: v for v in versions if v["is_current"]}
-    same = next(v for k, v in seen.items() if k.startswith("uni a|sistemas"))
+    same = next(v for k, v in seen.items() if k.startswith("uni a|quimica"))
     assert (same["first_seen_at"], same["last_seen_at"]) == (naive[0], naive[1])
     absent = next(v for k, v in seen.items() if k.startswith("uni b"))
     assert absent["last_seen_at"] == naive[0]
@@ -255,3 +255,50 @@ def test_backlog_equals_one_by_one(spark, loaded, tmp_path):
     assert state(both, "first_seen_at", "last_seen_at") == state(
         step, "first_seen_at", "last_seen_at")
     assert Warehouse(spark, both).newest() == found[3]["file_id"]
+
+
+def test_a_retry_leaves_nothing_of_the_first_try(spark, tmp_path, monkeypatch):
+    """Load a; b fails after its versions are written; load c; retry b, which closes nothing."""
+    from tideline.plans import ingest
+
+    root, places, files = str(tmp_path / "house"), str(tmp_path / "p.csv"), []
+    (tmp_path / "p.csv").write_text(
+        "provincia,canton\n" + "".join(f"{p},{c}\n" for p, c in CATALOG), encoding="utf-8"
+    )
+    contents = ([offer()], [offer(status="Cerrada")], [offer(status="Cerrada"), offer(program="X")])
+    for i, rows in enumerate(contents):
+        write_csv(tmp_path / f"{i}.csv", rows)
+        files.append(str(tmp_path / f"{i}.csv"))
+    run_batch(spark, root, files[0], places)
+    text = "e" * 3000
+
+    def broken(*_):
+        raise RuntimeError(text)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "_report", broken)
+        with pytest.raises(RuntimeError):
+            run_batch(spark, root, files[1], places)
+    house = Warehouse(spark, root)
+    failed = house.ledger().where("status = 'failed'").first()
+    assert failed["notes"] == text and json.loads(failed["process_metrics"])["error"] == text
+    assert house.of_good_runs("audit/run").count() == 1
+    run_batch(spark, root, files[2], places)
+    run_batch(spark, root, files[1], places)
+    versions = house.versions()
+    assert versions.count() == versions.select("offer_id").distinct().count()
+    closed = house.table("core/offer").where("not is_current")
+    assert closed.where(F.col("file_id") == failed["file_id"]).count() == 0
+
+
+def test_a_broken_file_fails_alone(spark, tmp_path):
+    from tideline.plans.ingest import load_files
+
+    root = str(tmp_path / "house")
+    write_csv(tmp_path / "good.csv", [offer()])
+    (tmp_path / "bad.csv.gz").write_bytes(b"\x1f\x8b\x08\x00broken")
+    paths = [str(tmp_path / "bad.csv.gz"), str(tmp_path / "good.csv")]
+    results = load_files(spark, root, paths, strict=False)
+    assert [r["status"] for r in results] == ["failed", "success"]
+    states = {r["file_name"]: r["status"] for r in Warehouse(spark, root).ledger().collect()}
+    assert states == {paths[0]: "failed", paths[1]: "success"}

@@ -92,6 +92,54 @@ def test_a_packed_file_is_shared_out(spark, tmp_path):
     assert df.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_quotes_and_line_breaks(spark, tmp_path):
+    cells = ['Uni "A" x', "two\nlines", "a,b", *record(3)[3:]]
+    quoted = ",".join('"' + c.replace('"', '""') + '"' for c in cells)
+    path = write(tmp_path / "q.csv", ["Title, of a sheet", ",".join(REQUIRED), quoted, ",".join(record(1))])
+    with pytest.raises(ValueError, match="multiline=True"):
+        offers.read_offers(spark, path)
+    found = offers.read_offers(spark, path, multiline=True).orderBy("row_num").collect()
+    assert [tuple(r) for r in found] == [(1, *cells), (2, *record(1))]
+
+
+def test_records_of_another_width_are_an_error(spark, tmp_path):
+    for i, line in enumerate((",".join(record(1)[:-1]), ",".join([*record(1), "more"]))):
+        path = write(tmp_path / f"w{i}.csv", [",".join(REQUIRED), ",".join(record(0)), line])
+        with pytest.raises(ValueError, match="has not 10 cells"):
+            offers.read_offers(spark, path)
+
+
+def test_part_files_without_a_header_lose_nothing(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder / "0.csv", ["title", "", ",".join(REQUIRED), *[",".join(record(n)) for n in range(3)]])
+    write(folder / "1.csv", [",".join(record(n)) for n in range(3, 9)])
+    found = offers.read_offers(spark, str(folder), format="csv").orderBy("row_num").collect()
+    assert [tuple(r) for r in found] == [(n + 1, *record(n)) for n in range(9)]
+    write(folder / "2.csv", [",".join(REQUIRED[::-1]), ",".join(record(9))])
+    with pytest.raises(ValueError, match="another header"):
+        offers.read_offers(spark, str(folder), format="csv")
+
+
+def test_rows_do_not_depend_on_the_parallelism(spark, tmp_path):
+    path = write(tmp_path / "s.csv", ["title", ",".join(REQUIRED),
+                                      *[",".join(record(n)) for n in range(20000)]])
+    old = {k: spark.conf.get(k, None) for k in
+           ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 4)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 300_000)
+        df = offers.read_offers(spark, path)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 7)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 110_000)
+        bad = df.where(F.col("provider") != F.concat(F.lit("nombre_ies "), F.col("row_num") - 1))
+        assert bad.count() == 0 and df.count() == 20000
+        assert df.select("row_num").distinct().count() == 20000
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_missing_columns(spark, tmp_path):
     path = write(tmp_path / "d.csv", [",".join(REQUIRED[:-1]), "1,2,3,4,5,6,7,8,9"])
     with pytest.raises(ValueError, match=r"Missing columns: \['ESTADO'\]"):

@@ -21,6 +21,9 @@ SOURCE_COLUMNS = {
 }
 REQUIRED = tuple(SOURCE_COLUMNS)
 
+# Fixed value: what the error says when different columns get one name.
+DUPLICATE_COLUMNS = "Duplicate columns after normalization"
+
 # Cell texts that source files use for a missing value.
 MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

@@ -3,29 +3,29 @@
 from __future__ import annotations
 
 import csv
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import HEADER_SCAN, MISSING_TEXTS, REQUIRED, SOURCE_COLUMNS
+from ..contract import (
+    DUPLICATE_COLUMNS, HEADER_SCAN, MISSING_TEXTS, REQUIRED, SOURCE_COLUMNS,
+)
 from ..functions.text import column_name, column_name_expr
 from ..operators.skew import lookup_join
-
-# Compressed files that cannot be split.
-PACKED = (".gz", ".deflate", ".snappy", ".lz4", ".zst")
+from ..session import spread, stored
 
 
 def canonical_names(names: Sequence[str]) -> list[str]:
-    """Canonical column names; two originals that become one are an error."""
-    seen: dict[str, list[str]] = {}
-    for name in names:
-        seen.setdefault(column_name(name), []).append(name)
-    clashes = {k: v for k, v in seen.items() if len(v) > 1}
-    if clashes:
-        raise ValueError(f"Duplicate columns after normalization: {clashes}")
-    return list(seen)
+    """Canonical column names in order. It is an error if different columns get one name."""
+    found = [column_name(name) for name in names]
+    uses = Counter(found)
+    clashing = [old for old, new in zip(names, found) if uses[new] > 1]
+    if clashing:
+        raise ValueError(f"{DUPLICATE_COLUMNS}: {', '.join(map(repr, clashing))}")
+    return found
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -87,52 +87,44 @@ def drop_empty(df: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
 
 
 def _preview(spark: SparkSession, path: str, sep: str, rows: int) -> list[list[str]]:
-    """The cells of the first non-blank lines (a bounded read of the file's start)."""
-    lines = spark.read.text(path).where(F.trim("value") != "").limit(rows).collect()
-    text = [line["value"].lstrip("\ufeff") for line in lines]
-    return [next(csv.reader([line], delimiter=sep)) for line in text]
+    """The first records that are not blank (a bounded read of the start of one file)."""
+    lines = spark.read.text(path).limit(rows).collect()
+    text = [f"{line['value']}\n".lstrip("\ufeff") for line in lines]
+    return [cells for cells in csv.reader(text, delimiter=sep) if any(c.strip() for c in cells)]
+
+
+def file_offsets(counts: DataFrame) -> DataFrame:
+    """``_file`` and ``_above``, the rows of all files before it by path. ``counts`` has a row
+    per file with its rows ``_n``."""
+    return counts.select("_file", _before("_n", Window.orderBy("_file")).alias("_above"))
 
 
-def number_rows(read: DataFrame, header: int = -1) -> DataFrame:
-    """The rows below the header of each file, with ``row_num`` from 1, in file order.
+def number_cells(read: DataFrame) -> DataFrame:
+    """The records of ``read`` stored once, with their ``_file`` and ``_pos`` in it from 0.
 
-    ``header`` is the position of the header row, -1 for none. Several files are numbered
-    through, by path. Rows are counted per file block in parallel; only the block counts are
-    summed up and joined back, so no sort or single task sees the rows themselves.
+    Records are counted per file block in parallel; only the block counts are summed up and
+    joined back, so no sort or single task sees the records themselves. Counts and records come
+    from the one stored table: how the files were split up while it was written doesn't matter
+    to anything that reads it. A record without an offset is an error, never left out.
     """
-    if len(read.inputFiles()) == 1 and read.rdd.getNumPartitions() == 1:
-        # One file in one piece: the id is the position.
-        pos = read.select(F.monotonically_increasing_id().alias("_pos"), "*")
-        below = pos.where(F.col("_pos") > header)
-        numbered = below.withColumn("row_num", F.col("_pos") - header).drop("_pos")
-        if not read.inputFiles()[0].endswith(PACKED):
-            return numbered
-        # A packed file may be large; one task reads it, the work on its rows is shared out.
-        cores = read.sparkSession.sparkContext.defaultParallelism
-        return numbered.repartition(cores, "row_num")
     block = ["_file", "_block"]
-    located = read.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        "*",
-    )
-    blocks = located.groupBy(*block).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    in_file = Window.partitionBy("_file").orderBy("_block")
-    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_n"))
-    offsets = blocks.select(*block, "_first", _before("_n", in_file).alias("_offset")).join(
-        # One row per file.
-        files.select(
-            "_file", _before(F.col("_n") - (header + 1), Window.orderBy("_file")).alias("_above")
+    cells = spread(
+        stored(
+            read.select(
+                F.col("_metadata.file_path").alias("_file"),
+                F.col("_metadata.file_block_start").alias("_block"),
+                F.monotonically_increasing_id().alias("_id"),
+                "*",
+            )
         ),
-        "_file",
-    )
-    placed = lookup_join(located, offsets, block)
-    pos = F.col("_offset") + F.col("_id") - F.col("_first")
-    kept = placed.withColumn("_pos", pos).where(F.col("_pos") > header)
-    return kept.withColumn("row_num", F.col("_above") + F.col("_pos") - header).drop(
-        *block, "_id", "_first", "_offset", "_above", "_pos"
+        "_id",
     )
+    blocks = cells.groupBy(*block).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    offsets = blocks.select(*block, (_before("_n", in_file) - F.col("_first")).alias("_offset"))
+    placed = lookup_join(cells, offsets, block)
+    found = F.coalesce("_offset", F.raise_error(F.lit("a record has no place in its file")))
+    return placed.withColumn("_pos", found + F.col("_id")).drop("_block", "_id", "_offset")
 
 
 def _before(value: Column | str, order: WindowSpec) -> Column:
@@ -141,46 +133,94 @@ def _before(value: Column | str, order: WindowSpec) -> Column:
     return F.coalesce(F.sum(value).over(earlier), F.lit(0))
 
 
+def read_records(
+    spark: SparkSession, path: str, names: Sequence[str], sep: str, multiline: bool
+) -> DataFrame:
+    """All records of delimited files as text columns, and ``_corrupt`` for those that are not
+    as wide as ``names``. A quote inside a quoted cell is doubled."""
+    kinds = [T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]]
+    options = {
+        "header": False, "sep": sep, "quote": '"', "escape": '"', "multiLine": multiline,
+        "columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE",
+    }
+    return spark.read.schema(T.StructType(kinds)).options(**options).csv(path)
+
+
 def read_csv(
     spark: SparkSession, path: str, required: Sequence[str] = REQUIRED, sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
-    """A delimited file as canonical text columns plus ``row_num``.
-
-    The header is the first line, or else the first of the leading lines that names all required
-    columns. Empty cells are NULL.
+    """Delimited files as canonical text columns plus ``row_num``, numbered through by path.
+
+    Each file's header is the first of its leading records that names all required columns; what
+    stands above is left out. A file without a header, as part files have, loses nothing. Files
+    with different headers are an error, and so is any record below the header that isn't as
+    wide as it: nothing is cut or filled up. Cells with line breaks need ``multiline``, which
+    reads each file in one task; without it their records are of the wrong width, and reported.
+    Empty cells are NULL.
     """
+    raw = None
     preview = _preview(spark, path, sep, HEADER_SCAN)
-    header = None
-    for pos, cells in enumerate(preview):
+    for cells in preview:
         if not missing_columns([column_name(c) for c in cells], required):
-            header = pos
+            raw = cells
             break
-    if header is None:
+    if raw is None:
         first = preview[0] if preview else []
         raise ValueError(
             f"Missing columns: {missing_columns([column_name(c) for c in first], required)}"
         )
-    raw = preview[header]
     names = canonical_names([n if n else f"unnamed {i}" for i, n in enumerate(raw)])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    read = spark.read.schema(schema).csv(path, header=False, sep=sep)
-    return number_rows(read, header).select(
-        "row_num", *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names]
+    cells = stored(number_cells(read_records(spark, path, names, sep, multiline)))
+
+    # One row per file: its header, if it has one.
+    first_cells = [F.regexp_replace(F.coalesce(n, F.lit("")), "^\ufeff", "") for n in names]
+    row = F.transform(F.array(*first_cells), column_name_expr)
+    wanted = F.array(*[F.lit(c) for c in required])
+    top = cells.where(F.col("_pos") < HEADER_SCAN).select("_file", "_pos", row.alias("_row"))
+    headers = top.where(F.size(F.array_except(wanted, F.col("_row"))) == 0).groupBy("_file").agg(
+        F.min(F.struct("_pos", "_row")).alias("_head")
+    )
+    counts = cells.groupBy("_file").agg(F.count("*").alias("_all"))
+    files = counts.join(headers, "_file", "left").select(
+        "_file", "_head._row", F.coalesce("_head._pos", F.lit(-1)).alias("_header"),
+        (F.col("_all") - F.coalesce("_head._pos", F.lit(-1)) - 1).alias("_n"),
+    )
+    files = stored(files)
+    due = F.array(*[F.lit(column_name(c)) for c in raw])
+    other = files.where(F.col("_row").isNotNull() & (F.col("_row") != due)).first()
+    if other:
+        raise ValueError(f"{other['_file']} has another header: {other['_row']}")
+    above = files.select("_file", "_header").join(file_offsets(files), "_file")
+    placed = lookup_join(cells, above, ["_file"]).where(F.col("_pos") > F.col("_header"))
+    wrong = placed.where("_corrupt IS NOT NULL").select("_file", "_pos", "_corrupt").first()
+    if wrong:
+        raise ValueError(
+            f"{wrong['_file']}: record {wrong['_pos']} has not {len(names)} cells; cells with "
+            f"line breaks need multiline=True: {wrong['_corrupt']!r}"
+        )
+    return placed.select(
+        (F.col("_above") + F.col("_pos") - F.col("_header")).alias("row_num"),
+        *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names],
     )
 
 
 def read_parquet(
     spark: SparkSession, path: str, required: Sequence[str] = REQUIRED
 ) -> DataFrame:
-    """A Parquet file as canonical columns plus ``row_num``."""
+    """Parquet files as canonical columns plus ``row_num``, numbered through by path."""
     df = spark.read.parquet(path)
     names = canonical_names(df.columns)
     _demand(names, required)
     renamed = [F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, names)]
-    if len(df.inputFiles()) > 1:
-        return number_rows(df).select("row_num", *renamed)
     # The format itself numbers the rows of a file.
-    return df.select((F.col("_metadata.row_index") + 1).alias("row_num"), *renamed)
+    located = df.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_pos"),
+        *renamed,
+    )
+    counts = located.groupBy("_file").agg(F.count("*").alias("_n"))
+    placed = lookup_join(located, file_offsets(counts), ["_file"])
+    return placed.select((F.col("_above") + F.col("_pos") + 1).alias("row_num"), *names)
 
 
 def read_offers(
@@ -189,17 +229,19 @@ def read_offers(
     required: Sequence[str] = REQUIRED,
     sep: str = ",",
     format: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """The required columns of a published file under their neutral names, with ``row_num``.
 
-    ``format`` is ``csv`` or ``parquet``, by default told from the name. Extra columns are
+    ``format`` is ``csv`` or ``parquet``, by default told from the name; ``multiline`` is for
+    delimited files whose cells hold line breaks. Extra columns are
     dropped, and so are rows that lack every required value.
     """
     kind = format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if kind == "parquet":
         df = read_parquet(spark, path, required)
     else:
-        df = read_csv(spark, path, required, sep)
+        df = read_csv(spark, path, required, sep, multiline)
     return drop_empty(df, required).select(
         F.col("row_num").cast("bigint").alias("row_num"),
         *[F.col(c).cast("string").alias(SOURCE_COLUMNS.get(c, c)) for c in required],

@@ -25,7 +25,8 @@ def start(
     """Load each new file of ``landing`` as one run, in order of arrival.
 
     Files that wait together are settled together, ``files_per_load`` at most; the result is
-    that of loading them one by one. A file without the required columns is passed over.
+    that of loading them one by one. A file without the required columns is passed over, and one
+    that cannot be read is recorded as failed; the others are loaded.
 
     The stream only tells which files are new; it carries paths, not content. A file that comes
     up again after a crash is recognised by its checksum, so it is loaded exactly once. With
@@ -44,7 +45,7 @@ def start(
         # At most files_per_load paths.
         paths = [r["path"] for r in batch.orderBy("modificationTime", "path").collect()]
         for result in load_files(batch.sparkSession, root, paths, catalog_path, strict=False):
-            if result["status"] == "unreadable":
+            if result["status"] in ("unreadable", "failed"):
                 log.warning("passed over a file: %s", result["error"])
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
