@@ -47,7 +47,7 @@ def make_texts(seed, count=40, vocabulary=300):
 
 @pytest.mark.parametrize("seed,counted", [(1, 2000), (2, 2), (3, 2000)])
 def test_against_brute_force(documents, monkeypatch, seed, counted):
-    monkeypatch.setattr(substrings, "COUNTED_SEGMENTS", counted)
+    monkeypatch.setattr(substrings, "COUNTED_CONTENTS", counted)
     texts = make_texts(seed)
     found = dedup_substrings(documents(*enumerate(texts)))
     assert results(found) == brute(texts, 35)

@@ -8,12 +8,13 @@ settles its segment at once, and segments that are all equal are settled as well
 
 What is left is the reference. It is dealt out by anchor into shards of bounded size; each shard
 becomes a suffix automaton, and its segments are streamed through it for their matching
-statistics: the longest suffix that ends at two places of the shard. Where that is as long as a
+statistics: the longest suffix that ends at two places of the corpus. Equal segments are one, and
+weigh as many places as they stand at. Where that is as long as a
 window, the window is removed. Sending the automata to all documents instead would make every
 document meet every shard, which grows with the square of the corpus.
 
-An anchor with very many segments is no shard but counted: its windows' hashes are summed before
-they travel, so that no task holds them all.
+An anchor with very many different segments is no shard but counted: its windows' hashes are
+summed before they travel, so that no task holds them all.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ WINDOW_WORDS = 35
 ANCHOR_WORDS = 16
 #: Words of the segments in one automaton, at most, but for a single anchor's.
 SHARD_WORDS = 50_000
-#: Segments of one anchor that are more than this are counted by window.
-COUNTED_SEGMENTS = 2_000
+#: Different segments of one anchor that are more than this are counted by window.
+COUNTED_CONTENTS = 2_000
 
 SPANS = "array<struct<first:int,last:int>>"
 
@@ -133,31 +134,25 @@ def contents(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, window: in
     return mixed(moved + (end - first).astype(np.uint64)).view(np.int64)
 
 
-def shard_spans(rows: list[tuple], window: int) -> Iterator[tuple]:
-    """Key and first and last window of every run of repeated windows in a shard.
-
-    ``rows`` are (id, h, first, words) of segments, ``words`` the bytes of their hashes.
+def shard_runs(rows: list[tuple], window: int) -> Iterator[tuple]:
+    """Anchor, content, and first and last window in it, of every run of repeated windows in a
+    shard. ``rows`` are (g, c, times, words), one per content; ``words`` the bytes of its hashes.
     """
-    times: dict[bytes, int] = {}
-    for row in rows:
-        times[row[3]] = times.get(row[3], 0) + 1
     automaton = SuffixAutomaton()
-    words = {w: np.frombuffer(w, np.uint64).tolist() for w in times}
-    for w, n in times.items():
-        automaton.add(words[w], n)
+    sequences = [np.frombuffer(w, np.uint64).tolist() for *_, w in rows]
+    for (_, _, times, _), sequence in zip(rows, sequences):
+        automaton.add(sequence, times)
     automaton.finish()
-    runs = {}
-    for w, sequence in words.items():
+    for (g, c, _, _), sequence in zip(rows, sequences):
         long = np.fromiter(automaton.statistics(sequence), np.int64, len(sequence)) >= window
         edges = np.flatnonzero(np.diff(np.concatenate([[0], long[window - 1 :], [0]])))
-        runs[w] = edges.reshape(-1, 2).tolist()
-    for id_, h, first, w in rows:
-        for a, b in runs[w]:
-            yield id_, h, first + a, first + b - 1
+        for a, b in edges.reshape(-1, 2).tolist():
+            yield g, c, a, b - 1
 
 
 def _segments(docs: DataFrame, window: int, places: bool) -> DataFrame:
-    """A row per segment: ``g``, and its place, or the hash ``c`` of its words."""
+    """A row per segment: its anchor ``g``, the hash ``c`` of its words, and with ``places``
+    where it is."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -167,14 +162,13 @@ def _segments(docs: DataFrame, window: int, places: bool) -> DataFrame:
                 first, last, anchor = anchors(hashes, window)
                 if not len(first):
                     continue
+                found = contents(hashes, first, last, window)
+                columns, names = [pa.array(anchor), pa.array(found)], ["g", "c"]
                 if places:
-                    ids = batch.column("id").take(pa.array(np.full(len(first), i)))
-                    h = batch.column("h").take(pa.array(np.full(len(first), i)))
-                    columns = [ids, h, pa.array(first), pa.array(last), pa.array(anchor)]
-                    names = ["id", "h", "first", "last", "g"]
-                else:
-                    found = contents(hashes, first, last, window)
-                    columns, names = [pa.array(anchor), pa.array(found)], ["g", "c"]
+                    here = pa.array(np.full(len(first), i))
+                    ids, h = (batch.column(c).take(here) for c in ("id", "h"))
+                    columns += [ids, h, pa.array(first), pa.array(last)]
+                    names += ["id", "h", "first", "last"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def gathered(batches):
@@ -189,80 +183,71 @@ def _segments(docs: DataFrame, window: int, places: bool) -> DataFrame:
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    schema = f"id {kind}, h int, first int, last int, g bigint" if places else "g bigint, c bigint"
-    return docs.mapInArrow(gathered, schema)
+    more = f", id {kind}, h int, first int, last int" if places else ""
+    return docs.mapInArrow(gathered, f"g bigint, c bigint{more}")
 
 
 def _words_of(docs: DataFrame, lists: DataFrame, window: int) -> DataFrame:
-    """The words of listed segments: ``g``, ``id``, ``h``, ``first``, ``words``; of anchors to be
-    counted, a row per window instead, with its hash in ``g`` and no words."""
-    kind = docs.schema["id"].dataType.simpleString()
+    """The words of listed contents: ``g``, ``c``, ``times``, ``words``; of anchors to be counted,
+    a row per window instead, with its place ``at``, its hash ``w`` and no words."""
     some = maybe_in(docs, _row_key(), lists, "key").where("_maybe").drop("_maybe")
-    wanted = _joined(some, lists.drop("key"), "inner").select("id", "h", "text", "listed")
+    wanted = _joined(some, lists.drop("key"), "inner").select("text", "listed")
 
     def run(batches):
+        kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.binary()]
         for batch in batches:
-            for id_, h, text, listed in zip(*(batch.column(c) for c in range(4))):
+            for text, listed in zip(batch.column("text"), batch.column("listed")):
                 hashes = word_hashes(utf8(text))
-                windows = None
-                rows: tuple[list, list, list] = ([], [], [])
+                windows, rows = None, []
                 for seg in listed.as_py():
                     first, last = seg["first"], seg["last"]
+                    head = (seg["g"], seg["c"], seg["times"])
                     if seg["counted"]:
                         if windows is None:
                             windows = window_hashes(hashes, window).view(np.int64)
-                        rows[0].extend(windows[first : last + 1].tolist())
-                        rows[1].extend(range(first, last + 1))
-                        rows[2].extend([None] * (last + 1 - first))
+                        found = windows[first : last + 1].tolist()
+                        rows += [(*head, at, w, None) for at, w in enumerate(found)]
                     else:
-                        rows[0].append(seg["g"])
-                        rows[1].append(first)
-                        rows[2].append(hashes[first : last + window].tobytes())
-                ids = pa.array([id_.as_py()] * len(rows[0]), batch.schema.field(0).type)
+                        rows.append((*head, None, None, hashes[first : last + window].tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows[0], pa.int64()), ids,
-                        pa.array([h.as_py()] * len(rows[0]), pa.int32()),
-                        pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.binary()),
-                    ],
-                    names=["g", "id", "h", "first", "words"],
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                    names=["g", "c", "times", "at", "w", "words"],
                 )
 
-    return wanted.mapInArrow(run, f"g bigint, id {kind}, h int, first int, words binary")
+    return wanted.mapInArrow(
+        run, "g bigint, c bigint, times bigint, at int, w bigint, words binary"
+    )
 
 
 def _in_shards(segments: DataFrame, window: int) -> DataFrame:
-    """Runs of repeated windows, by an automaton per shard. An anchor's segments are in one
+    """Runs of repeated windows, by an automaton per shard. An anchor's contents are in one
     partition next to each other, and a shard takes whole anchors."""
-    kind = segments.schema["id"].dataType.simpleString()
 
     def run(batches):
         shard: list[tuple] = []
         size, anchor = 0, None
-        field = None
+        names, kinds = ["g", "c", "a", "b"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
         def done():
-            spans = list(zip(*shard_spans(shard, window))) or [[], [], [], []]
-            kinds = [field, pa.int32(), pa.int32(), pa.int32()]
+            runs = list(zip(*shard_runs(shard, window))) or [[], [], [], []]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(spans, kinds)], names=["id", "h", "first", "last"]
+                [pa.array(c, k) for c, k in zip(runs, kinds)], names=names
             )
 
         for batch in batches:
-            field = batch.schema.field("id").type
-            columns = [batch.column(c).to_pylist() for c in ("g", "id", "h", "first", "words")]
-            for g, *row in zip(*columns):
-                if g != anchor and size >= SHARD_WORDS:
+            columns = [batch.column(c).to_pylist() for c in ("g", "c", "times", "words")]
+            for row in zip(*columns):
+                if row[0] != anchor and size >= SHARD_WORDS:
                     yield done()
                     shard, size = [], 0
-                anchor = g
-                shard.append(tuple(row))
+                anchor = row[0]
+                shard.append(row)
                 size += len(row[3]) // 8
         if shard:
             yield done()
 
-    placed = segments.repartition("g").sortWithinPartitions("g")
-    return placed.mapInArrow(run, f"id {kind}, h int, first int, last int")
+    placed = segments.repartition("g").sortWithinPartitions("g", "c")
+    return placed.mapInArrow(run, "g bigint, c bigint, a int, b int")
 
 
 def _joined(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -277,7 +262,8 @@ def _row_key():
 
 
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """``id``, ``h`` and the first and last window of runs that occur elsewhere too."""
+    """``id``, ``h`` and ``runs``, first and last windows that occur elsewhere too; several rows
+    for a document."""
     occurring = _segments(docs.select("id", "h", "text"), window, places=False).groupBy("g").agg(
         F.count("*").alias("n"), (F.min("c") == F.max("c")).alias("equal")
     )
@@ -285,22 +271,43 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     places = _segments(docs.select("id", "h", "text"), window, places=True)
     found = stored(places.join(several, "g"))
 
-    settled = found.where("equal").select("id", "h", "first", "last")
-    counted = F.col("n") > COUNTED_SEGMENTS
-    # Equal rows of the table have one key here, and each of them will find its windows by it.
-    open_ = found.where("NOT equal").groupBy("id", "h").agg(
-        F.collect_set(F.struct("g", "first", "last", counted.alias("counted"))).alias("listed")
+    whole = F.array(F.struct("first", "last"))
+    settled = found.where("equal").select("id", "h", whole.alias("runs"))
+    open_ = found.where("NOT equal").drop("n", "equal")
+
+    # Each content is looked at once, where it stands first, and weighs as often as it occurs.
+    kinds = stored(
+        open_.groupBy("g", "c").agg(
+            F.count("*").alias("times"), F.min(F.struct("id", "h", "first", "last")).alias("one")
+        )
+    )
+    counted = stored(kinds.groupBy("g").agg((F.count("*") > COUNTED_CONTENTS).alias("counted")))
+    lists = kinds.join(counted, "g").groupBy("one.id", "one.h").agg(
+        F.collect_list(
+            F.struct("g", "c", "times", "one.first", "one.last", "counted")
+        ).alias("listed")
     )
-    open_ = stored(open_.withColumn("key", _row_key()))
-    words = stored(_words_of(docs, open_, window))
+    lists = stored(lists.withColumn("key", _row_key()))
+    words = stored(_words_of(docs, lists, window))
     by_shard = _in_shards(words.where("words IS NOT NULL"), window)
-
-    windows = words.where("words IS NULL").select("g", "id", "h", "first")
-    twice = windows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    by_count = windows.join(twice, "g", "left_semi").select(
-        "id", "h", "first", F.col("first").alias("last")
+    windows = words.where("words IS NULL").select("g", "c", "at", "w", "times")
+    twice = stored(
+        windows.groupBy("w").agg(F.sum("times").alias("n")).where("n > 1").select("w")
+    )
+    by_count = windows.join(twice, "w", "left_semi").select(
+        "g", "c", F.col("at").alias("a"), F.col("at").alias("b")
+    )
+    runs = by_shard.unionByName(by_count).groupBy("g", "c").agg(
+        F.collect_list(F.struct("a", "b")).alias("runs")
+    )
+    moved = F.transform(
+        "runs",
+        lambda x: F.struct(
+            (F.col("first") + x["a"]).alias("first"), (F.col("first") + x["b"]).alias("last")
+        ),
     )
-    return settled.unionByName(by_shard).unionByName(by_count)
+    judged = open_.join(stored(runs), ["g", "c"]).select("id", "h", moved.alias("runs"))
+    return settled.unionByName(judged)
 
 
 def dedup_substrings(
@@ -327,7 +334,7 @@ def dedup_substrings(
     )
     kind = source.schema["id"].dataType.simpleString()
     spans = repeated_windows(source, window).groupBy("id", "h").agg(
-        F.collect_list(F.struct("first", "last")).alias("spans")
+        F.flatten(F.collect_list("runs")).alias("spans")
     )
     spans = stored(spans.withColumn("key", _row_key()))
     # Most documents have nothing repeated, and need not travel.
