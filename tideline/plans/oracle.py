@@ -612,6 +612,12 @@ ORACLE: dict[str, str] = {
         program AS "NOMBRE_CARRERA", field AS "CAMPO_AMPLIO", level AS "NIVEL_FORMACION",
         modality AS "MODALIDAD", province AS "PROVINCIA", canton AS "CANTON", status AS "ESTADO"
         FROM base""",
+    "read_offers_csv": f"""WITH {_OFFERS} SELECT row_number() OVER (ORDER BY row_num)
+        + count(*) FILTER (row_num % 7 = 0) OVER (
+            ORDER BY row_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS row_num,
+        provider || ' "of", ' || modality AS provider, provider_type, funding_type,
+        program || chr(10) || status AS program, field, level, modality, province, canton, status
+        FROM base""",
     "dimension_counts": f"""WITH RECURSIVE {_OFFERS}, {_SPOILED}, {_MATCH} SELECT file_id,
         count(DISTINCT coalesce(provider, '')) AS providers,
         count(DISTINCT (province_norm, canton_norm)) AS territories,

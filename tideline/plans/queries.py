@@ -818,6 +818,31 @@ def header_discovery(spark, sf):
     return offers.drop_empty(below)
 
 
+@query
+def read_offers_csv(spark, sf):
+    """Offers read back from part files of which the first has a title and the header, with
+    doubled quotes and line breaks in cells, and an empty record after some of the others."""
+    names = list(SOURCE_COLUMNS.values())
+    rows = sample.offers(spark, sf).select("row_num", *names).withColumns(
+        {
+            "provider": F.concat("provider", F.lit(' "of", '), "modality"),
+            "program": F.concat("program", F.lit("\n"), "status"),
+        }
+    )
+    cells = [F.concat(F.lit('"'), F.replace(n, F.lit('"'), F.lit('""')), F.lit('"')) for n in names]
+    empty = F.when(F.col("row_num") % 7 == 0, F.lit("\n" + "," * (len(names) - 1)))
+    lines = rows.select(
+        "row_num", F.concat(F.concat_ws(",", *cells), F.coalesce(empty, F.lit(""))).alias("value")
+    )
+    top = [(-2, "Published offers, all runs"), (-1, ",".join(REQUIRED))]
+    lines = lines.unionByName(spark.createDataFrame(top, "row_num bigint, value string"))
+    parts = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = f"{scratch_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}"
+    ordered = lines.repartitionByRange(parts, "row_num").sortWithinPartitions("row_num")
+    ordered.select("value").write.text(path)
+    return offers.read_offers(spark, path, format="csv", multiline=True)
+
+
 @query
 def dimension_counts(spark, sf):
     """Distinct dimension members per run, combinations with NULL parts included."""
@@ -868,7 +893,7 @@ _HOUSES: dict[tuple[str, str], Warehouse] = {}
 def _house(spark, sf) -> Warehouse:
     """A warehouse that has loaded every run of the spoiled offers; built once per session.
 
-    Each run is a folder of delimited files in row order, with a title above the header.
+    Each run is a folder of delimited files in row order, each with a header.
     """
     key = (spark.sparkContext.applicationId, sf)
     if key in _HOUSES:
@@ -878,7 +903,7 @@ def _house(spark, sf) -> Warehouse:
         "file_id", "row_num", *[F.col(n).alias(p) for p, n in SOURCE_COLUMNS.items()]
     )
     ordered = rows.orderBy("file_id", "row_num").drop("row_num")
-    ordered.write.partitionBy("file_id").option("header", True).csv(f"{base}/landing")
+    ordered.write.partitionBy("file_id").options(header=True, escape='"').csv(f"{base}/landing")
     # 25 rows, in catalogue order.
     places = sample.catalog(spark, sf).orderBy("ordinal").select(
         F.col("province_norm").alias("provincia"), F.col("canton_norm").alias("canton")

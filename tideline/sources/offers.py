@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import Counter
 from collections.abc import Sequence
 
@@ -93,6 +94,24 @@ def _preview(spark: SparkSession, path: str, sep: str, rows: int) -> list[list[s
     return [cells for cells in csv.reader(text, delimiter=sep) if any(c.strip() for c in cells)]
 
 
+def _header_cells(
+    spark: SparkSession, path: str, sep: str, required: Sequence[str]
+) -> list[str]:
+    """The cells of a header: among the first records, or else in a part file further on."""
+    preview = _preview(spark, path, sep, HEADER_SCAN)
+    for cells in preview:
+        if not missing_columns([column_name(c) for c in cells], required):
+            return cells
+    named = F.transform(F.split("value", re.escape(sep)), column_name_expr)
+    wanted = F.array(*[F.lit(c) for c in required])
+    lines = spark.read.text(path).where(F.size(F.array_except(wanted, named)) == 0)
+    if line := lines.first():
+        return next(csv.reader([line["value"]], delimiter=sep))
+    first = preview[0] if preview else []
+    missing = missing_columns([column_name(c) for c in first], required)
+    raise ValueError(f"Missing columns: {missing}")
+
+
 def file_offsets(counts: DataFrame) -> DataFrame:
     """``_file`` and ``_above``, the rows of all files before it by path. ``counts`` has a row
     per file with its rows ``_n``."""
@@ -159,17 +178,7 @@ def read_csv(
     reads each file in one task; without it their records are of the wrong width, and reported.
     Empty cells are NULL.
     """
-    raw = None
-    preview = _preview(spark, path, sep, HEADER_SCAN)
-    for cells in preview:
-        if not missing_columns([column_name(c) for c in cells], required):
-            raw = cells
-            break
-    if raw is None:
-        first = preview[0] if preview else []
-        raise ValueError(
-            f"Missing columns: {missing_columns([column_name(c) for c in first], required)}"
-        )
+    raw = _header_cells(spark, path, sep, required)
     names = canonical_names([n if n else f"unnamed {i}" for i, n in enumerate(raw)])
     cells = stored(number_cells(read_records(spark, path, names, sep, multiline)))
 
@@ -187,6 +196,8 @@ def read_csv(
         (F.col("_all") - F.coalesce("_head._pos", F.lit(-1)) - 1).alias("_n"),
     )
     files = stored(files)
+    if files.where("_row IS NOT NULL").isEmpty():
+        raise ValueError(f"Missing columns: no header in the first {HEADER_SCAN} records")
     due = F.array(*[F.lit(column_name(c)) for c in raw])
     other = files.where(F.col("_row").isNotNull() & (F.col("_row") != due)).first()
     if other:
