@@ -36,3 +36,9 @@ def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def run_states(ledger: DataFrame) -> DataFrame:
     counts = ledger.where("status is not null").groupBy("status")
     return counts.agg(F.count("*").alias("runs"))
+
+
+def storage_states(ledger: DataFrame) -> DataFrame:
+    """Runs by what became of their artefacts; a run that says nothing is ``unknown``."""
+    state = F.coalesce("storage_status", F.lit("unknown")).alias("storage_status")
+    return ledger.groupBy(state).agg(F.count("*").alias("runs"))

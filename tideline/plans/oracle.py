@@ -643,6 +643,8 @@ ORACLE: dict[str, str] = {
         'new=' || ingest_new || ', updated=' || ingest_updated || ', unchanged='
         || ingest_unchanged || ', skipped_missing_dims=' || skipped_missing_dims AS notes,
         {', '.join(_HOUSE_METRICS)} FROM runs""",
+    "warehouse_storage_states": """SELECT 'success' AS storage_status,
+        count(DISTINCT year(o_orderdate)) AS runs FROM orders""",
     "warehouse_quality": f"""{_HOUSE} """ + " UNION ALL ".join(
         [f"SELECT stamp AS created_at, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM runs"
          for m in _HOUSE_METRICS]

@@ -946,6 +946,12 @@ def warehouse_runs(spark, sf):
     return _utc(runs, "ingested_at")
 
 
+@query
+def warehouse_storage_states(spark, sf):
+    """What became of the artefacts of the stored runs."""
+    return ledger.storage_states(_house(spark, sf).ledger())
+
+
 @query
 def warehouse_quality(spark, sf):
     """Stored quality metrics of every run."""

@@ -180,7 +180,7 @@ def read_csv(
     """
     raw = _header_cells(spark, path, sep, required)
     names = canonical_names([n if n else f"unnamed {i}" for i, n in enumerate(raw)])
-    cells = stored(number_cells(read_records(spark, path, names, sep, multiline)))
+    cells = number_cells(read_records(spark, path, names, sep, multiline))
 
     # One row per file: its header, if it has one.
     first_cells = [F.regexp_replace(F.coalesce(n, F.lit("")), "^\ufeff", "") for n in names]
