@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 
 from tideline.llm.components import components
-from tideline.llm.jaccard import jaccard_join, one_of_each, prefix_length
+from tideline.llm.jaccard import (
+    jaccard_join, most_shared, one_of_each, prefix_length, signature,
+)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -92,6 +95,14 @@ def test_prefix_length():
     assert [prefix_length(n, 75) for n in (0, 1, 4, 5, 100)] == [0, 1, 2, 2, 26]
 
 
+def test_signatures_never_say_too_little():
+    rnd = np.random.default_rng(8)
+    for n, m, both in ((1, 1, 0), (5, 5, 3), (400, 300, 250), (2000, 40, 40), (900, 1000, 870)):
+        pool = rnd.integers(0, 1 << 63, n + m - both).astype(np.uint64)
+        a, b = pool[:n], pool[n - both :]
+        assert min(n, m) >= most_shared(signature(a), signature(b), n, m) >= both
+
+
 def test_components(spark):
     rnd = random.Random(6)
     links = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)]

@@ -117,18 +117,42 @@ def sketches(docs: DataFrame, level, size: int, percent: int, prefixes: bool) ->
     return docs.mapInArrow(run, f"id {ids}, n bigint, key binary{more}")
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """A bit map of hashed tokens, about four bits a token; a power of two of them."""
+    bits = max(6, int(4 * len(tokens) - 1).bit_length())
+    marks = np.zeros(1 << bits, np.uint8)
+    marks[(mixed(tokens) >> np.uint64(64 - bits)).astype(np.int64)] = 1
+    return np.packbits(marks).tobytes()
+
+
+def most_shared(a: bytes, b: bytes, n: int, m: int) -> int:
+    """What two sets of ``n`` and ``m`` tokens share at most, by their signatures: a bit that
+    only one of them has stands for a token that the other lacks."""
+    one, two = (np.unpackbits(np.frombuffer(x, np.uint8)) for x in (a, b))
+    size = min(len(one), len(two))
+    one, two = (x.reshape(size, -1).any(axis=1) for x in (one, two))
+    return min(n - int((one & ~two).sum()), m - int((two & ~one).sum()))
+
+
 def whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``rep`` and the set's ``tokens``."""
+    """``rep``, the set's ``tokens``, how many they are (``n``) and their ``signature``."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(utf8(x), size).view(np.int64) for x in batch.column("text")]
+            sets = [shingles(utf8(x), size) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.array(sets, pa.list_(pa.int64()))],
-                names=["rep", "tokens"],
+                [
+                    batch.column("rep"),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(list(map(signature, sets)), pa.binary()),
+                ],
+                names=["rep", "tokens", "n", "signature"],
             )
 
-    return docs.select("rep", "text").mapInArrow(run, "rep bigint, tokens array<bigint>")
+    return docs.select("rep", "text").mapInArrow(
+        run, "rep bigint, tokens array<bigint>, n bigint, signature binary"
+    )
 
 
 def plausible(counts: DataFrame, percent: int) -> DataFrame:
@@ -154,10 +178,14 @@ def similar(a: np.ndarray, b: np.ndarray, level: np.ndarray, percent: int) -> bo
 
 
 def verified(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar enough."""
+    """The pairs ``a``, ``b`` whose sets are similar enough.
+
+    The small signatures travel first, and whole sets only for pairs that those leave.
+    """
+    pairs = _by_signature(pairs.select("a", "b"), sets, percent)
     one = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x"))
     two = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
 
     def run(batches):
         for batch in batches:
@@ -174,6 +202,24 @@ def verified(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFram
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _by_signature(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may be similar enough by what their signatures let them share."""
+    small = sets.select("rep", "n", "signature")
+    both = pairs.join(small.toDF("a", "n", "x"), "a").join(small.toDF("b", "m", "y"), "b")
+
+    def run(batches):
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("x", "y", "n", "m"))
+            good = [
+                (100 + percent) * most_shared(x, y, n, m) >= percent * (n + m)
+                for x, y, n, m in zip(*columns)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    found = both.select("a", "b", "x", "y", "n", "m").mapInArrow(run, "a bigint, b bigint")
+    return stored(found.distinct())
+
+
 def linked(
     reps: DataFrame, docs: DataFrame, extra: DataFrame, level, size: int, percent: int
 ) -> DataFrame:
