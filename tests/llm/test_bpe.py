@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tideline.llm.bpe import Transducer, bpe_decode, bpe_encode, codec
+from tideline.llm.bpe import Transducer, bpe_decode, bpe_encode, bpe_round_trip, codec
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -27,10 +27,11 @@ def test_against_library(spark, documents, sample):
     texts = [r["text"] for r in sample.collect()] + list(random_texts(1))
     texts += [None, "", " \n", "Á é", "don't 've'll"]
     df = documents(*enumerate(texts), more="ids string, decoded string, id string")
-    rows = bpe_decode(bpe_encode(df, PATH), PATH).collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        assert (r["ids"], r["decoded"]) == due(texts[r["doc_id"]])
+    for found in (bpe_decode(bpe_encode(df, PATH), PATH), bpe_round_trip(df, PATH)):
+        rows = found.collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            assert (r["ids"], r["decoded"]) == due(texts[r["doc_id"]])
 
 
 def test_long_word_streams():
@@ -67,5 +68,7 @@ def test_edges(documents):
     df = documents((None, "a"), (None, "a"), (3, "b"), (3, "b"))
     assert bpe_encode(df, PATH).count() == 4
     assert bpe_encode(documents(), PATH).count() == 0
+    assert bpe_round_trip(df, PATH).count() == 4
+    assert bpe_round_trip(documents(), PATH).count() == 0
     with pytest.raises(ValueError):
         codec(PATH).merges.short("一", "")

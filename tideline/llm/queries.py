@@ -40,11 +40,10 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again under the vocabulary with word ends."""
-    from .bpe import bpe_decode, bpe_encode
+    from .bpe import bpe_round_trip
 
     path = tokenizer_file("word_bpe_49k.json")
-    decoded = bpe_decode(bpe_encode(table(spark, folder, "documents"), path), path)
-    return decoded.select(
+    return bpe_round_trip(table(spark, folder, "documents"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
