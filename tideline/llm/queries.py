@@ -336,3 +336,138 @@ SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM t LEFT JOIN sums USING (doc_id)
 """
+
+
+@query
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """How good every document is, by trees over its statistics."""
+    from .boosting import score_quality
+
+    return score_quality(
+        table(spark, folder, "documents"), table(spark, folder, "labels"),
+        held_out="crc32(CAST(id AS STRING)) % 3 = 1",
+    )
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the four leading components, whitened."""
+    from .whitening import whiten
+
+    found = whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, some documents made periodic beforehand."""
+    from .periodic import periodic_runs
+
+    runs = periodic_runs(_made_periodic(table(spark, folder, "documents")))
+    # The longest run first; of equal ones the smallest start, then period.
+    best = F.array_max(
+        F.transform(
+            "runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))
+        )
+    )["run"]
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return runs.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """Every document whose id's checksum ends in 0 with its words repeated from some place on."""
+    words = docs.select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h")
+    ).withColumn("w", F.when(F.col("h") % 10 == 0, F.expr(
+        r"filter(split(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+    )))
+    planned = words.withColumns({"n": F.size("w"), "g": F.expr("h div 10")})
+    planned = planned.withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    planned = planned.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    moved = F.expr(
+        "array_join(transform(w, (x, i) -> IF(i < a, x, w[CAST(a + (i - a) % p AS INT)])), ' ')"
+    )
+    return planned.select("doc_id", F.when(F.col("n") > 0, moved).otherwise(F.col("text")).alias("text"))
+
+
+#: Blocks of up to so many words are ranked in SQL: enough for every text of 65,536 words.
+_SQL_BLOCKS = [4 << i for i in range(13)]
+
+
+def _ranked(half: int) -> str:
+    """A table of the blocks of twice ``half`` words, numbered in each document."""
+    return f"""b{2 * half} AS MATERIALIZED (
+    SELECT doc_id, i, dense_rank() OVER (PARTITION BY doc_id ORDER BY r, f) AS r
+    FROM (SELECT *, lead(r, {half}) OVER (PARTITION BY doc_id ORDER BY i) AS f FROM b{half})
+    WHERE f IS NOT NULL),
+"""
+
+
+def _distances(size: int) -> str:
+    least = 1 if size == 4 else size // 2 + 1
+    return f"""SELECT doc_id, d
+    FROM (SELECT doc_id, lead(i) OVER (PARTITION BY doc_id, r ORDER BY i) - i AS d FROM b{size})
+    WHERE d BETWEEN {least} AND {size}"""
+
+
+ORACLE["op13_periodic_runs"] = rf"""
+WITH t AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS w,
+           xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''),
+                                          lambda c: ord(c)::BIGINT),
+               lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, y: xor(x >> 1, (x & 1) * 3988292384)), 4294967295::BIGINT),
+               4294967295::BIGINT) AS h
+    FROM documents),
+planned AS (
+    SELECT *, CAST((h // 10) % len(w) AS INT) AS a,
+           CAST(1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS INT) AS p
+    FROM t WHERE len(w) > 0),
+texts AS (
+    SELECT doc_id, CASE WHEN h % 10 <> 0 THEN w ELSE list_transform(range(0, len(w)),
+           lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) END AS w
+    FROM planned),
+words AS MATERIALIZED (
+    SELECT doc_id, unnest(range(0, len(w))) AS i, unnest(w) AS word FROM texts),
+b1 AS MATERIALIZED (
+    SELECT doc_id, i, dense_rank() OVER (PARTITION BY doc_id ORDER BY word) AS r FROM words),
+{"".join(map(_ranked, [1, 2, *_SQL_BLOCKS[:-1]]))}periods AS MATERIALIZED (
+    {" UNION ".join(map(_distances, _SQL_BLOCKS))}),
+equal AS (
+    SELECT x.doc_id, d, x.i
+    FROM periods JOIN words x USING (doc_id)
+    JOIN words y ON y.doc_id = x.doc_id AND y.i = x.i + d AND y.word = x.word),
+stretches AS (
+    SELECT doc_id, d AS period, min(i) AS start, count(*) + d AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM equal)
+    GROUP BY doc_id, d, island
+    HAVING count(*) + d >= greatest(6, 4 * d)),
+runs AS MATERIALIZED (
+    SELECT * FROM stretches s
+    WHERE NOT EXISTS (
+        SELECT 1 FROM stretches z
+        WHERE z.doc_id = s.doc_id AND z.period < s.period AND z.start <= s.start
+          AND z.start + z.length >= s.start + s.length)),
+sums AS (
+    SELECT doc_id, count(*) AS n_runs,
+           arg_max({{'start': start, 'length': length, 'period': period}},
+                   {{'l': length, 's': -start, 'p': -period}}) AS best,
+           string_agg(start || ',' || length || ',' || period || chr(10), ''
+                      ORDER BY start, period) AS listed
+    FROM runs GROUP BY doc_id),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body
+    FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length,
+       best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM t LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
