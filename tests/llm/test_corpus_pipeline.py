@@ -2,19 +2,14 @@
 
 import hashlib
 import re
-import sys
-from pathlib import Path
 
 import public_tokenizers
+from near_copies import brute as near_brute
 from tokenizers import Tokenizer
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
-from test_jaccard import brute as near_brute  # noqa: E402
-
-import corpus_pipeline  # noqa: E402
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
-from tideline.llm.language import train  # noqa: E402
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from tideline.llm.language import train
 
 
 def test_against_plain_python(spark, sample, sample_dir):
@@ -55,6 +50,6 @@ def test_stages_keep_the_columns(spark, documents, sample_dir, tmp_path):
 def test_registered():
     names = queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert set(oracle_sql()) <= set(names)
