@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 import unicodedata
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import structured, temporal
 from tideline.functions.keys import natural_key, row_hash, surrogate_id
-from tideline.functions.similarity import _lcs_rows, indel_ratio, lcs_length
+from tideline.functions.similarity import _lcs_words, indel_ratio, lcs_length
 from tideline.functions.text import column_name, column_name_expr, fold_text, normalize_value
 from tideline.sources.offers import canonical_names
 
@@ -117,11 +118,25 @@ def python_lcs(a, b):
 def test_lcs_against_python(spark, pairs):
     found = values(
         spark, pairs, "a string, b string", "a", "b", lcs_length(F.col("a"), F.col("b")),
-        F.when((F.col("a") != "") & (F.col("b") != ""), _lcs_rows(F.col("a"), F.col("b"))),
+        F.when((F.col("a") != "") & (F.col("b") != ""), _lcs_words(F.col("a"), F.col("b"))),
     )
-    for a, b, length, by_rows in found:
+    for a, b, length, by_words in found:
+        assert length == python_lcs(a, b)
+        assert by_words in (None, length)
+
+
+def test_lcs_of_long_strings(spark):
+    """Lengths around whole words of 62 characters, runs that carry through words, any script."""
+    rnd = random.Random(11)
+    pairs = [("a" * 300, "a" * 249), ("ab" * 100, "ba" * 100), ("x" * 124, "y" * 125)]
+    for n in (61, 62, 63, 124, 125, 186, 187, 400):
+        for letters in ("ab", "abcdéfgh ñ", "👍ñ✓"):
+            a = "".join(rnd.choice(letters) for _ in range(n))
+            b = "".join(c for c in a if rnd.random() < 0.9) + "".join(rnd.sample(letters, 2))
+            pairs += [(a, b), (b, a[::-1])]
+    found = values(spark, pairs, "a string, b string", "a", "b", lcs_length(F.col("a"), F.col("b")))
+    for a, b, length in found:
         assert length == python_lcs(a, b)
-        assert by_rows in (None, length)
 
 
 def test_indel_ratio(spark):

@@ -21,15 +21,16 @@ def rows_of(df):
 # Territory -------------------------------------------------------------------------------------
 
 
-def python_match(province, canton, catalog, threshold=85):
-    def ratio(a, b):
-        total = len(a) + len(b)
-        return 100.0 if not total else (1 - (total - 2 * python_lcs(a, b)) / total) * 100
+def python_ratio(a, b):
+    total = len(a) + len(b)
+    return 100.0 if not total else (1 - (total - 2 * python_lcs(a, b)) / total) * 100
+
 
+def python_match(province, canton, catalog, threshold=85):
     def best(name, choices):
         if name in choices:
             return name, 100.0
-        score, place = max((ratio(name, c), -i) for i, c in enumerate(choices))
+        score, place = max((python_ratio(name, c), -i) for i, c in enumerate(choices))
         return (choices[-place], score) if score >= threshold else (None, 0.0)
 
     provinces = list(dict.fromkeys(p for p, _ in catalog))
@@ -85,6 +86,39 @@ def test_matching_against_brute_force(spark):
             assert math.isclose(got[2], wanted[2]) and math.isclose(got[3], wanted[3])
 
 
+def test_matching_of_repetitive_names(spark):
+    """Names of one dominant letter, whose rarest pairs repeat; and a threshold of single ones."""
+    rng = random.Random(9)
+    choices = ["a" * n for n in range(1, 30)] + ["".join(rng.choice("aaab") for _ in range(20))
+                                                 for _ in range(60)]
+    choices = list(dict.fromkeys(choices))
+    names = [spoil(rng, rng.choice(choices)) for _ in range(200)] + ["ab" * 10, "a" * 31, "b"]
+    names = list(dict.fromkeys(" ".join(n.lower().split()) for n in names))
+    frame = spark.createDataFrame([(c, i) for i, c in enumerate(choices)], "name string, ordinal int")
+    texts = spark.createDataFrame([(n,) for n in names] + [(None,)], "name string")
+    for threshold in (90, 85, 67, 66, 50):
+        found = {r["name"]: r for r in territory.best_match(texts, frame, (), threshold).collect()}
+        for name in names:
+            scores = [python_ratio(name, c) for c in choices]
+            best = max(scores)
+            if best >= threshold:
+                assert found[name]["choice"] == choices[scores.index(best)], (threshold, name)
+                assert math.isclose(found[name]["score"], best)
+            else:
+                assert name not in found
+
+
+def test_equal_names_are_never_scored(spark):
+    """The plan's string comparison gets no row whose name is a choice."""
+    frame = spark.createDataFrame([("quito", 0), ("loja", 1)], "name string, ordinal int")
+    texts = spark.createDataFrame([("quito",), ("loja",), ("quit",)], "name string")
+    found = territory.best_match(texts, frame)
+    scored = [r for r in found.collect() if r["score"] < 100]
+    assert [r["name"] for r in scored] == ["quit"]
+    alone = territory.best_match(texts.where("name <> 'quit'"), frame)
+    assert {r["score"] for r in alone.collect()} == {100.0}
+
+
 def test_matching_without_catalogue(spark):
     df = spark.createDataFrame([("a", "b")], "province string, canton string")
     row = territory.match_territory(df, None).first()
@@ -105,6 +139,61 @@ def test_repeated_keys_with_a_hot_key(spark):
     assert len({r["row_num"] for r in found}) == len(found)
 
 
+def test_repeated_keys_beyond_a_broadcast(spark, monkeypatch):
+    """A bit map lets rows of unique keys stay where they are, and loses none of the others."""
+    keys = [f"u{i}" for i in range(3000)] + ["hot"] * 900 + [f"d{i % 50}" for i in range(100)]
+    df = spark.createDataFrame(list(zip(keys, range(len(keys)))), "k string, row_num int")
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    found = skew.rows_of_repeated_keys(df, ["k"], F.col("row_num")).collect()
+    assert sorted(r["row_num"] for r in found) == list(range(3000, 4000))
+    hashed = df.withColumn("_hash", F.xxhash64("k"))
+    often = hashed.where("row_num >= 3000").select("_hash").distinct()
+    passed = skew._in_map(hashed, often).collect()
+    assert {r["row_num"] for r in passed} >= set(range(3000, 4000)) and len(passed) < 1100
+    assert set(passed[0].asDict()) == {"k", "row_num", "_hash"}
+
+
+def test_null_safe_lookup(spark, monkeypatch):
+    """Half of all keys are NULL, in one part or in both."""
+    rng = random.Random(2)
+    parts = ["hot", "a", "b", None, None, None]
+    rows = [(rng.choice(parts), rng.choice(parts), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, j string, v int")
+    pairs = sorted({r[:2] for r in rows}, key=str)[::2]
+    lookup = spark.createDataFrame([(*p, i) for i, p in enumerate(pairs)], "k string, j string, w int")
+    due = {"left": [], "inner": []}
+    for k, j, v in rows:
+        w = pairs.index((k, j)) if (k, j) in pairs else None
+        due["left"].append((k, j, v, w))
+        if w is not None:
+            due["inner"].append((k, j, v, w))
+    for limit, skewed in ((1 << 20, True), (-1, True), (-1, False)):
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(skew, "HOT_ROWS", 30)
+        for how in due:
+            found = skew.lookup_join(df, lookup, ["k", "j"], how, skewed=skewed, null_safe=True)
+            assert found.columns == ["k", "j", "v", "w"]
+            got = sorted(map(tuple, found.collect()), key=str)
+            assert got == sorted(due[how], key=str)
+
+
+def test_equal_rows_of_a_hot_key_spread(spark, monkeypatch):
+    """Rows that are equal in every column still go to several salts."""
+    rows = spark.range(0, 4000, 1, 8).select(F.lit(None).cast("string").alias("k"))
+    lookup = spark.createDataFrame([(None, 1)], "k string, w int")
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    assert rows.select(skew._spread(rows).alias("s")).distinct().count() > 3
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    found = skew.lookup_join(rows, lookup, ["k"], null_safe=True)
+    assert found.where("w = 1").count() == 4000
+
+
+def test_nested_values_are_measured(spark):
+    big = spark.createDataFrame([(1, ["x" * 1000] * 5)], "k int, v array<string>")
+    size = big.select(skew.row_bytes(big)).first()[0]
+    assert size > 5000
+
+
 def test_lookup_join_salted_equals_broadcast(spark, monkeypatch):
     keys = ["hot" if i % 3 else f"k{i % 40}" for i in range(600)] + [None] * 300
     rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v int")

@@ -111,17 +111,19 @@ def programs(dim: DataFrame, staging: DataFrame) -> DataFrame:
 def resolve_ids(
     rows: DataFrame, provider: DataFrame, territory: DataFrame, program: DataFrame
 ) -> DataFrame:
-    """Adds the three surrogate keys, NULL where a dimension has no such key."""
+    """Adds the three surrogate keys, NULL where a dimension has no such key.
+
+    Dimensions are measured and joined as lookups, so rows don't travel while these are small,
+    and a key that many rows have, or lack, doesn't gather in one task beyond that.
+    """
     for dim, keys, id_column in (
         (provider, PROVIDER_KEY, "provider_id"),
         (territory, TERRITORY_KEY, "territory_id"),
         (program, PROGRAM_KEY, "program_id"),
     ):
-        lookup = dim.select(id_column, *keys).alias("new")
-        rows = (
-            rows.drop(id_column).alias("old").join(lookup, _same_key(keys), "left")
-            .select("old.*", f"new.{id_column}")
-        )
+        order = [*[c for c in rows.columns if c != id_column], id_column]
+        lookup = dim.select(*keys, id_column)
+        rows = lookup_join(rows.drop(id_column), lookup, keys, null_safe=True).select(*order)
     return rows
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import lookup_join
+
 PROGRAM = ("program", "field", "level", "modality")
 
 
@@ -17,40 +19,32 @@ def star(
 ) -> DataFrame:
     """Current offers with their three dimensions and the time their last file came in.
 
-    No side is forced to broadcast: the planner decides from the size of each dimension.
+    After a load nearly all offers have one last file, and a provider may hold a third of them:
+    all four sides are measured and joined as lookups.
     """
-    files = ledger.select(F.col("file_id").alias("last_file_id"), "ingested_at")
-    return (
-        offers.where("is_current")
-        .select(
-            "offer_id", "provider_id", "territory_id", "program_id",
-            F.col("status_norm").alias("status"), "is_current", "last_seen_at", "last_file_id",
-        )
-        .join(
-            providers.select(
-                "provider_id", F.col("provider_norm").alias("provider"), "provider_type",
-                "funding_type",
-            ),
-            "provider_id",
-        )
-        .join(
-            territories.select(
-                "territory_id", F.col("province_norm").alias("province"),
-                F.col("canton_norm").alias("canton"),
-            ),
-            "territory_id",
-        )
-        .join(
-            programs.select(
-                "program_id", F.col("program_norm").alias("program"),
-                F.col("field_norm").alias("field"), F.col("level_norm").alias("level"),
-                F.col("modality_norm").alias("modality"),
-            ),
-            "program_id",
-        )
-        .join(files, "last_file_id", "left")
-        .drop("provider_id", "territory_id", "program_id", "last_file_id")
+    dims = {
+        "provider_id": providers.select(
+            "provider_id", F.col("provider_norm").alias("provider"), "provider_type",
+            "funding_type",
+        ),
+        "territory_id": territories.select(
+            "territory_id", F.col("province_norm").alias("province"),
+            F.col("canton_norm").alias("canton"),
+        ),
+        "program_id": programs.select(
+            "program_id", F.col("program_norm").alias("program"),
+            F.col("field_norm").alias("field"), F.col("level_norm").alias("level"),
+            F.col("modality_norm").alias("modality"),
+        ),
+    }
+    rows = offers.where("is_current").select(
+        "offer_id", *dims, F.col("status_norm").alias("status"), "is_current", "last_seen_at",
+        "last_file_id",
     )
+    for key, dim in dims.items():
+        rows = lookup_join(rows, dim, [key], "inner")
+    files = ledger.select(F.col("file_id").alias("last_file_id"), "ingested_at")
+    return lookup_join(rows, files, ["last_file_id"]).drop(*dims, "last_file_id")
 
 
 def offers_per_province(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..contract import ISSUE_PREVIEW
 from ..functions.keys import surrogate_id
 from ..functions.structured import json_document
+from ..session import checkpointed
 from .filters import missing_text
 from .skew import lookup_join, rows_of_repeated_keys
 
@@ -51,11 +52,21 @@ def conflicting_status(rows: DataFrame) -> DataFrame:
     )
 
 
-def metrics(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
+def repeated_rows(rows: DataFrame) -> DataFrame:
+    """What the key rules read of the rows whose key is repeated, stored for their several uses.
+
+    Duplicates and conflicts of a key take at least two rows, so no other row matters to them.
+    """
+    return checkpointed(duplicate_rows(rows.select(*KEY, "row_num", "row_hash", "status_norm")))
+
+
+def metrics(
+    rows: DataFrame, catalog: DataFrame | None, repeated: DataFrame | None = None
+) -> DataFrame:
     """One row per file and metric.
 
-    Row rules are conditional counts of one pass. Key rules count rows per (key, status), then
-    per key, both combined on the map side, so no key is gathered whole.
+    Row rules are conditional counts of one pass. Key rules count ``repeated_rows``, which may
+    be passed in, per (key, status), then per key, so no key is gathered whole.
     """
     marked = _mark_pairs(rows, catalog)
     by_row = marked.groupBy("file_id").agg(
@@ -64,31 +75,33 @@ def metrics(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
         F.count_if(F.col("provider").isNull()).alias("missing_NOMBRE_IES"),
         F.count_if(F.col("program").isNull()).alias("missing_NOMBRE_CARRERA"),
     )
+    repeated = repeated_rows(rows) if repeated is None else repeated
     per_key = (
-        rows.groupBy(*KEY, "status_norm")
+        repeated.groupBy(*KEY, "status_norm")
         .agg(F.count("*").alias("n"))
         .groupBy(*KEY)
         .agg(F.sum("n").alias("n"), F.count("status_norm").alias("states"))
     )
     by_key = per_key.groupBy("file_id").agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias(
-            "duplicates_in_file"
-        ),
+        F.sum("n").alias("duplicates_in_file"),
         F.count_if(F.col("states") > 1).alias("conflicting_estado"),
     )
-
-    def long(df: DataFrame) -> DataFrame:
-        names = [c for c in df.columns if c != "file_id"]
-        return df.unpivot("file_id", names, "metric", "value")
-
-    return long(by_row).unionByName(long(by_key))
+    # Both sides have one row per file.
+    names = {c: F.lit(0) for c in ("duplicates_in_file", "conflicting_estado")}
+    wide = lookup_join(by_row, by_key, ["file_id"], null_safe=True, skewed=False)
+    wide = wide.withColumns({c: F.coalesce(F.col(c), zero) for c, zero in names.items()})
+    return wide.unpivot(
+        "file_id", [c for c in wide.columns if c != "file_id"], "metric", "value"
+    )
 
 
-def issues(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
+def issues(
+    rows: DataFrame, catalog: DataFrame | None, repeated: DataFrame | None = None
+) -> DataFrame:
     """One row per finding, with a JSON detail.
 
     Row rules are read in one pass: each row carries its findings as an array. Duplicates and
-    status conflicts come from their own groupings.
+    status conflicts come from ``repeated_rows``, which may be passed in.
     """
     nothing = F.lit(None).cast("struct<issue_type:string,detail:string>")
 
@@ -123,16 +136,17 @@ def issues(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
         marked.select(*KEY, "row_num", F.explode(found).alias("f"))
         .select(*KEY, "row_num", "f.*")
     )
-    repeated = duplicate_rows(rows.select(*KEY, "row_num", "row_hash")).select(
+    repeated = repeated_rows(rows) if repeated is None else repeated
+    duplicates = repeated.select(
         *KEY, "row_num", F.lit("duplicate_natural_key").alias("issue_type"),
         json_document(row_index=F.col("row_num") - 1, row_hash=F.col("row_hash")).alias("detail"),
     )
-    conflicts = conflicting_status(rows).select(
+    conflicts = conflicting_status(repeated).select(
         *KEY, F.lit(None).cast("bigint").alias("row_num"),
         F.lit("conflicting_estado").alias("issue_type"),
         json_document(states=F.col("states")).alias("detail"),
     )
-    return repeated.unionByName(by_row).unionByName(conflicts)
+    return duplicates.unionByName(by_row).unionByName(conflicts)
 
 
 def issue_log(found: DataFrame, run_id: Column, created_at: Column) -> DataFrame:

@@ -315,7 +315,8 @@ def _spoiled(spark, sf) -> DataFrame:
 @query
 def territory_match(spark, sf):
     """Exact, fuzzy and failed territory matches of spoiled names."""
-    matched = territory.match_territory(_spoiled(spark, sf), sample.catalog(spark, sf))
+    offers = stored(_spoiled(spark, sf).select(*sample.ORDER[:4], "province", "canton"))
+    matched = territory.match_territory(offers, sample.catalog(spark, sf))
     return _round(
         matched.select(
             *sample.ORDER[:4], "province", "canton", "province_norm", "canton_norm",
@@ -469,7 +470,11 @@ def scd2_merge(spark, sf):
 
 
 def _checked(spark, sf, *extra: str) -> DataFrame:
-    matched = territory.match_territory(_spoiled(spark, sf), sample.catalog(spark, sf))
+    # The offers are joined once: their names are matched, then all rows are read again.
+    names = ["file_id", "row_num", "provider", "program", "province", "canton", "status_norm"]
+    names += [c for c in (*NATURAL_KEY, *extra) if c not in ("province_norm", "canton_norm")]
+    offers = stored(_spoiled(spark, sf).select(*dict.fromkeys(names)))
+    matched = territory.match_territory(offers, sample.catalog(spark, sf))
     # Several rules read these rows.
     return stored(
         sample.keyed(matched).select(
