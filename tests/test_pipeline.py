@@ -5,11 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.contract import QUALITY_METRICS, REQUIRED
-from tideline.operators import constraints
-from tideline.plans.ingest import load_files, run_batch
+from tideline.functions.keys import row_hash
+from tideline.operators import constraints, history
+from tideline.plans.ingest import _PAYLOAD, load_files, retry_failed, run_batch
 from tideline.plans.warehouse import Warehouse, publish_views
-from tideline.sinks.tables import append_health, ensure_tables
-from tideline.streaming import arrivals
+from tideline.sinks import tables
+from tideline.sinks.tables import append_events, append_health, compact_ledger, ensure_tables
+from tideline.streaming import arrivals, health
 
 CATALOG = [("El Oro", "Machala"), ("El Oro", "Zaruma"), ("Loja", "Loja"), ("Pichincha", "Quito")]
 
@@ -198,8 +200,17 @@ def test_arrivals(spark, loaded, tmp_path):
     write_csv(landing / "2.csv", SECOND)
     write_csv(landing / "copy.csv", FIRST)
     (landing / "odd.csv").write_text("a,b\n1,2\n")
-    assert drain() == {"1.csv": "success", "2.csv": "success"}
+    due = {"1.csv": "success", "2.csv": "success", "odd.csv": "failed"}
+    assert drain() == due
     assert Warehouse(spark, root).current().count() == 5
+    failed = Warehouse(spark, root).ledger().where("status = 'failed'").first()
+    assert failed["notes"] and failed["storage_status"] == "failed" and failed["finished_at"]
+    # Offered again it fails again; mended, it is loaded, and then there is nothing to retry.
+    assert [r["status"] for r in retry_failed(spark, root, loaded[1])] == ["unreadable"]
+    write_csv(landing / "odd.csv", [offer(program="Baile")])
+    assert [r["status"] for r in retry_failed(spark, root, loaded[1])] == ["success"]
+    assert retry_failed(spark, root, loaded[1]) == []
+    assert Warehouse(spark, root).current().count() == 6
 
 
 def test_schema_bootstrap(spark, loaded, tmp_path):
@@ -302,3 +313,140 @@ def test_a_broken_file_fails_alone(spark, tmp_path):
     assert [r["status"] for r in results] == ["failed", "success"]
     states = {r["file_name"]: r["status"] for r in Warehouse(spark, root).ledger().collect()}
     assert states == {paths[0]: "failed", paths[1]: "success"}
+
+
+def test_views_follow_the_loads(spark, loaded, tmp_path):
+    """Published over nothing, the views and functions show every later load."""
+    root, (first, second) = str(tmp_path / "root"), loaded[2]
+    publish_views(spark, root)
+    top = lambda: [tuple(r) for r in spark.sql("SELECT * FROM rpc_top_provinces(2)").collect()]
+    series = lambda: spark.sql("SELECT files FROM rpc_ingestion_series('year')").collect()
+    versions = lambda: spark.table("fact_offer").count()
+    assert top() == [] and series() == [] and versions() == 0
+    run_batch(spark, root, first, loaded[1], loaded[3][0])
+    assert top()[0] == ("el oro", 2) and versions() == 4
+    run_batch(spark, root, second, loaded[1], loaded[3][1])
+    assert top() == [("el oro", 2), ("loja", 2)] and versions() == 6
+    assert spark.table("dim_ies").count() == 3 and spark.table("files").count() == 2
+    assert spark.table("stg_oferta").count() == 10
+    plan = spark.sql("SELECT * FROM dim_ies")._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in plan
+
+
+def test_merge_goes_bucket_by_bucket(spark, loaded):
+    """The current offers of the last run are joined as they lie, and nothing is lost by it."""
+    house = Warehouse(spark, loaded[0])
+    newest = house.newest()
+    buckets = tables.offer_buckets(spark, loaded[0], newest)
+    assert buckets == tables.next_buckets(spark, loaded[0], newest)
+    current = house.bucketed_current(newest)
+    plain = house.current(newest)
+    assert sorted(map(tuple, current.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    keys = [r["natural_key"] for r in plain.collect()] + ["new|key"]
+    incoming = spark.createDataFrame([(k,) for k in keys], "natural_key string").select(
+        "natural_key", row_hash(F.col("natural_key"), F.lit("x")).alias("row_hash"),
+        *[F.lit("v").alias(c) for c in _PAYLOAD],
+    )
+    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        merged = history.merge(current, incoming, _PAYLOAD, F.lit("f"), now, bucketed=True)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and f"SelectedBucketsCount: {buckets}" in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+        usual = history.merge(plain, incoming, _PAYLOAD, F.lit("f"), now)
+        assert sorted(map(str, merged.collect())) == sorted(map(str, usual.collect()))
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_buckets_grow_with_the_offers(spark, loaded, monkeypatch):
+    newest = Warehouse(spark, loaded[0]).newest()
+    now = tables.offer_buckets(spark, loaded[0], newest)
+    monkeypatch.setattr(tables, "MOST_BUCKET_BYTES", 1)
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 100)
+    assert tables.next_buckets(spark, loaded[0], newest) > now
+    assert tables.next_buckets(spark, loaded[0], None) >= 1
+
+
+def test_ledger_compaction(spark, tmp_path, monkeypatch):
+    """Files stay few, and the state the same, also if a compaction dies half-way."""
+    root, start = str(tmp_path), dt.datetime(2025, 1, 1)
+
+    def event(i, seq, **more):
+        when = start + dt.timedelta(seconds=10 * i + seq)
+        return {"file_id": f"f{i % 7}", "event_seq": seq, "event_at": when, **more}
+
+    def state():
+        return sorted(map(str, Warehouse(spark, root).ledger().collect()))
+
+    def files():
+        return len(tables._files(spark, f"{root}/raw/ledger"))
+
+    for i in range(12):
+        append_events(spark, root, [event(i, 0, status="running", notes=f"n{i}")])
+        append_events(spark, root, [event(i, 2, status="success" if i % 3 else "failed")])
+    whole = state()
+    assert files() == 24 and not compact_ledger(spark, root, 24)
+
+    with monkeypatch.context() as patch:
+        # It dies after the folded events are stored, before they are noted.
+        patch.setattr(tables, "_write_note", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact_ledger(spark, root, 5)
+    assert state() == whole and files() > 24
+    assert compact_ledger(spark, root, 5) and state() == whole
+    # The next ones delete what was folded before.
+    for i in range(12, 30):
+        append_events(spark, root, [event(i, 2, status="success", notes=f"n{i}")])
+        before = state()
+        compact_ledger(spark, root, 5)
+        assert state() == before
+    assert files() <= 2 * 5 + 4
+    notes = {r["file_id"]: r["notes"] for r in Warehouse(spark, root).ledger().collect()}
+    assert notes == {f"f{i % 7}": f"n{i}" for i in range(23, 30)}
+
+
+def test_health_stream_over_a_restart(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "checkpoint")
+
+    def checks(*rows):
+        append_health(spark.createDataFrame(
+            [(s, "http://x", dt.datetime(2025, 1, d), c, 1.0, None) for s, d, c in rows],
+            "service_name string, endpoint string, created_at timestamp, code int, "
+            "latency_ms double, error string"), root)
+        health.follow(spark, root, checkpoint).awaitTermination(120)
+        found = health.service_states(spark, root).collect()
+        return {r["service_name"]: (r["checks"], r["n_up"], r["n_down"], r["status"],
+                                    r["created_at"].day) for r in found}
+
+    assert health.service_states(spark, root) is None
+    assert checks(("auth", 1, 200), ("rest", 1, 503), ("auth", 2, 503)) == {
+        "auth": (2, 1, 1, "down", 2), "rest": (1, 0, 1, "down", 1)}
+    # An older check that comes late counts, and the latest one stays.
+    assert checks(("auth", 1, 200), ("new", 3, 200)) == {
+        "auth": (3, 2, 1, "down", 2), "rest": (1, 0, 1, "down", 1), "new": (1, 1, 0, "up", 3)}
+
+
+def test_audit_scans_every_table_once(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 9), (1, "b", 1), (None, "c", 2), (3, None, None)],
+                          "id int, kind string, ref int").write.parquet(f"{tmp_path}/one")
+    spark.createDataFrame([(1, 1), (2, 7), (2, 3)], "k int, j int").write.parquet(f"{tmp_path}/two")
+    frames = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("one", "two")}
+    rules = [
+        constraints.Unique("one", ["id"]), constraints.Unique("two", ["k"], "j > 2"),
+        constraints.OneOf("one", "kind", ["a", "b"]), constraints.Required("one", "ref"),
+        constraints.Required("two", "k"), constraints.Reference("one", "ref", "two", "k"),
+        constraints.Reference("two", "j", "one", "id"), constraints.Reference("two", "k", "two", "k"),
+        constraints.Reference("one", "id", "two", "k"), constraints.Unique("one", ["id", "ref"]),
+    ]
+    found = constraints.audit(frames, rules)
+    assert [(r["table_name"], r["violations"]) for r in found.collect()] == [
+        ("one", 1), ("two", 1), ("one", 1), ("one", 1), ("two", 0), ("one", 1), ("two", 1),
+        ("two", 0), ("one", 1), ("one", 0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2
+    assert {r["violations"] for r in constraints.audit(
+        {n: f.limit(0) for n, f in frames.items()}, rules).collect()} == {0}

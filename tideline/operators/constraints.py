@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import RUN_STATES, SERVICE_STATES
@@ -65,37 +66,94 @@ WAREHOUSE_RULES: tuple[Rule, ...] = (
 )
 
 
-def _violations(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables[rule.table]
+def _name(rule: Rule) -> str:
     if isinstance(rule, Unique):
+        return f"unique({','.join(rule.columns)})"
+    if isinstance(rule, OneOf):
+        return f"domain({rule.column})"
+    if isinstance(rule, Required):
+        return f"not_null({rule.column})"
+    return f"reference({rule.column}->{rule.target}.{rule.target_column})"
+
+
+def _finding(number: int, rule: Rule, df: DataFrame) -> Column:
+    """What a row of the rule's table says to it: a value to be counted, or NULL for nothing."""
+    value = None
+    if isinstance(rule, Unique):
+        columns = [F.col(c) for c in rule.columns]
         # As in SQL, a key with a NULL part never collides.
-        groups = df.where(rule.where).na.drop(subset=list(rule.columns)).groupBy(*rule.columns)
-        bad = groups.agg(F.count("*").alias("n")).where("n > 1")
-        name, found = f"unique({','.join(rule.columns)})", bad
+        known = reduce(and_, [c.isNotNull() for c in columns])
+        value = F.when(F.expr(rule.where) & known, F.to_json(F.struct(*columns)))
     elif isinstance(rule, OneOf):
-        name = f"domain({rule.column})"
-        found = df.where(~F.col(rule.column).isin(list(rule.values)))
+        value = F.when(~F.col(rule.column).isin(list(rule.values)), F.lit(""))
     elif isinstance(rule, Required):
-        name, found = f"not_null({rule.column})", df.where(F.col(rule.column).isNull())
+        value = F.when(F.col(rule.column).isNull(), F.lit(""))
     else:
-        name = f"reference({rule.column}->{rule.target}.{rule.target_column})"
-        # Each referring value is checked once, with the number of rows that carry it.
-        values = (
-            df.where(F.col(rule.column).isNotNull())
-            .groupBy(F.col(rule.column).alias("value"))
-            .agg(F.count("*").alias("n"))
-        )
-        target = tables[rule.target].select(F.col(rule.target_column).alias("value"))
-        orphans = values.join(target, "value", "left_anti")
-        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
-            F.lit(rule.table).alias("table_name"), F.lit(name).alias("rule"), "violations"
-        )
-    return found.agg(F.count("*").alias("violations")).select(
-        F.lit(rule.table).alias("table_name"), F.lit(name).alias("rule"), "violations"
+        value = F.col(rule.column).cast("string")
+    return _entry(number, value, False)
+
+
+def _entry(number: int, value: Column, target: bool) -> Column:
+    return F.when(
+        value.isNotNull(),
+        F.struct(
+            F.lit(number).alias("rule"), value.alias("value"), F.lit(target).alias("target")
+        ),
     )
 
 
 def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = WAREHOUSE_RULES) -> DataFrame:
-    """Violations per rule: colliding keys, or rows with a wrong, missing or orphaned value."""
+    """Violations per rule: colliding keys, or rows with a wrong, missing or orphaned value.
+
+    Every table is scanned once, whatever the number of rules on it. A row gives one entry per
+    rule that it has a say in, and one per rule that refers to it; entries are counted per rule
+    and value on the map side, so a hot value is one row a task. Referring values meet the
+    values they refer to in the same grouping. Values of references compare as text.
+    """
     checked = [r for r in rules if r.table in tables]
-    return reduce(DataFrame.unionByName, [_violations(r, tables) for r in checked])
+    used = list(dict.fromkeys([r.table for r in checked] + [
+        r.target for r in checked if isinstance(r, Reference)
+    ]))
+    counted = []
+    for name in used:
+        df = tables[name]
+        entries = [_finding(i, r, df) for i, r in enumerate(checked) if r.table == name]
+        # Several rules may refer to one column: its values are read once, and dealt out to all.
+        wanted: dict[str, list[int]] = {}
+        for i, rule in enumerate(checked):
+            if isinstance(rule, Reference) and rule.target == name:
+                wanted.setdefault(rule.target_column, []).append(i)
+        for column, numbers in wanted.items():
+            entries.append(_entry(-1 - numbers[0], F.col(column).cast("string"), True))
+        found = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+        values = found.groupBy("e.rule", "e.value", "e.target").agg(F.count("*").alias("n"))
+        for column, numbers in wanted.items():
+            if len(numbers) > 1:
+                shared = F.array(*[F.lit(i) for i in numbers])
+                one = F.array(F.col("rule"))
+                dealt = F.when(F.col("rule") == -1 - numbers[0], shared).otherwise(one)
+                values = values.withColumn("rule", F.explode(dealt))
+            else:
+                back = F.when(F.col("rule") == -1 - numbers[0], F.lit(numbers[0]))
+                values = values.withColumn("rule", F.coalesce(back, "rule"))
+        counted.append(values)
+    together = reduce(DataFrame.unionByName, counted).groupBy("rule", "value").agg(
+        F.coalesce(F.sum(F.when(~F.col("target"), F.col("n"))), F.lit(0)).alias("n"),
+        F.max("target").alias("known"),
+    )
+    unique = [i for i, r in enumerate(checked) if isinstance(r, Unique)]
+    wrong = (
+        F.when(F.col("rule").isin(unique), (F.col("n") > 1).cast("bigint"))
+        .when(~F.col("known"), F.col("n"))
+        .otherwise(0)
+    )
+    sums = together.groupBy("rule").agg(F.sum(wrong).alias("found"))
+    # One row per rule.
+    named = df.sparkSession.createDataFrame(
+        [(i, r.table, _name(r)) for i, r in enumerate(checked)],
+        "rule int, table_name string, rule_name string",
+    )
+    return named.join(F.broadcast(sums), "rule", "left").select(
+        "table_name", F.col("rule_name").alias("rule"),
+        F.coalesce("found", F.lit(0)).alias("violations"),
+    )

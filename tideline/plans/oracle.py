@@ -710,4 +710,14 @@ ORACLE: dict[str, str] = {
     ) + " FROM runs",
     "surrogate_ids": """SELECT o_orderkey, sha256('=' || o_orderkey || chr(31) ||
         CASE WHEN o_orderstatus <> 'F' THEN '=' || o_orderstatus ELSE '~' END) AS id FROM orders""",
+    "arrivals_ledger": """SELECT 'success' AS status, 1 AS files, count(*) AS rows_loaded
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)
+        UNION ALL SELECT 'failed', 2, 0""",
+    "service_states": f"""WITH {_CHECKS}, latest AS (SELECT * FROM checks QUALIFY row_number() OVER
+        (PARTITION BY service_name ORDER BY created_at DESC, status_code DESC, latency_ms DESC) = 1),
+        counts AS (SELECT service_name, count(*) AS checks, count(*) FILTER (status = 'up') AS n_up,
+        count(*) FILTER (status = 'down') AS n_down FROM checks GROUP BY 1)
+        SELECT CAST(service_name AS VARCHAR) AS service_name, checks, n_up, n_down, created_at,
+        status, status_code, latency_ms FROM counts JOIN latest USING (service_name)""",
 }

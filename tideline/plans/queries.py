@@ -25,8 +25,10 @@ from ..operators import (
 from ..operators.skew import lookup_join
 from ..session import scratch_dir, spread, stored
 from ..sinks import reports
+from ..sinks.tables import append_health
 from ..sources import files, geojson, offers, sample
 from ..sources.tables import read_view
+from ..streaming import arrivals, health
 from .ingest import load_files
 from .warehouse import Warehouse, publish_views
 
@@ -898,7 +900,9 @@ _HOUSES: dict[tuple[str, str], Warehouse] = {}
 def _house(spark, sf) -> Warehouse:
     """A warehouse that has loaded every run of the spoiled offers; built once per session.
 
-    Each run is a folder of delimited files in row order, each with a header.
+    Each run is a folder of delimited files in row order, each with a header. The views are
+    published first of all. Then all runs but the newest are loaded together, and the newest is
+    merged into what they left.
     """
     key = (spark.sparkContext.applicationId, sf)
     if key in _HOUSES:
@@ -916,12 +920,26 @@ def _house(spark, sf) -> Warehouse:
     places.coalesce(1).write.option("header", True).csv(f"{base}/places")
     # One value per run.
     years = sample.runs(spark, sf).orderBy("file_id").select("file_id").collect()
-    load_files(
-        spark, f"{base}/house", [f"{base}/landing/file_id={y['file_id']}" for y in years],
-        f"{base}/places", dt.datetime(2002, 1, 1, tzinfo=dt.UTC),
-    )
-    _HOUSES[key] = Warehouse(spark, f"{base}/house")
-    return _HOUSES[key]
+    paths = [f"{base}/landing/file_id={y['file_id']}" for y in years]
+    first = dt.datetime(2002, 1, 1, tzinfo=dt.UTC)
+    house = Warehouse(spark, f"{base}/house")
+    _publish(house)
+    load_files(spark, house.root, paths[:-1], f"{base}/places", first)
+    last = first + dt.timedelta(milliseconds=len(paths) - 1)
+    load_files(spark, house.root, paths[-1:], f"{base}/places", last)
+    _HOUSES[key] = house
+    return house
+
+
+_PUBLISHED: dict[str, str] = {}
+
+
+def _publish(house: Warehouse) -> None:
+    """Publish the views, unless this session shows this house already."""
+    session = house.spark.sparkContext.applicationId
+    if _PUBLISHED.get(session) != house.root:
+        publish_views(house.spark, house.root)
+        _PUBLISHED[session] = house.root
 
 
 def _utc(df: DataFrame, *columns: str) -> DataFrame:
@@ -988,16 +1006,64 @@ def warehouse_constraints(spark, sf):
 
 @query
 def published_top_provinces(spark, sf):
-    """The published table function, called from SQL."""
-    publish_views(spark, _house(spark, sf).root)
+    """The published table function, called from SQL; it was published before any load."""
+    _publish(_house(spark, sf))
     return spark.sql("SELECT * FROM rpc_top_provinces(3)")
 
 
 @query
 def published_series(spark, sf):
-    """The published series function, called from SQL."""
-    publish_views(spark, _house(spark, sf).root)
+    """The published series function, called from SQL; it was published before any load."""
+    _publish(_house(spark, sf))
     return spark.sql(
         "SELECT files, rows_loaded, ingest_new, ingest_updated, ingest_unchanged, "
         "skipped_missing_dims FROM rpc_ingestion_series('month')"
     )
+
+
+# Streams -------------------------------------------------------------------------------------
+
+
+@query
+def arrivals_ledger(spark, sf):
+    """What the ledger says of files that arrived: one good, one without the required columns,
+    and one with a record of another width."""
+    base = f"{scratch_dir(spark).rstrip('/')}/arrivals/{uuid.uuid4().hex}"
+    newest = _newest(spark, sf)
+    rows = _spoiled(spark, sf).where(F.col("file_id") == newest).select(
+        "row_num", *[F.col(n).alias(p) for p, n in SOURCE_COLUMNS.items()]
+    )
+    # One file, as one is published.
+    rows.coalesce(1).sortWithinPartitions("row_num").drop("row_num").write.options(
+        header=True, escape='"'
+    ).csv(f"{base}/landing/offers")
+    places = sample.table(spark, sf, "region")
+    places.coalesce(1).write.option("header", True).csv(f"{base}/landing/places")
+    header = ",".join(REQUIRED)
+    torn = places.groupBy().agg(F.array_sort(F.collect_list("r_name")).alias("names"))
+    torn.select(F.concat_ws("\n", F.lit(header), "names")).coalesce(1).write.text(
+        f"{base}/landing/torn"
+    )
+    arrivals.start(
+        spark, f"{base}/landing/*", f"{base}/house", f"{base}/checkpoint", pattern="*.{csv,txt}"
+    ).awaitTermination()
+    ledger_ = Warehouse(spark, f"{base}/house").ledger()
+    return ledger_.groupBy("status").agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows_loaded")
+    )
+
+
+@query
+def service_states(spark, sf):
+    """The latest check and the counts of every service, followed by a stream over a restart."""
+    base = f"{scratch_dir(spark).rstrip('/')}/health/{uuid.uuid4().hex}"
+    checks = sample.event_health(spark, sf).select(
+        F.col("service_name").cast("string"), F.lit("probe").alias("endpoint"),
+        F.col("created_at").cast("timestamp"), "code", "latency_ms",
+        F.lit(None).cast("string").alias("error"), "check_id",
+    )
+    for part in (0, 1):
+        append_health(checks.where(F.col("check_id") % 2 == part).drop("check_id"), base)
+        health.follow(spark, base, f"{base}/checkpoint").awaitTermination()
+    found = health.service_states(spark, base).drop("endpoint", "detail")
+    return _naive(found, "created_at")

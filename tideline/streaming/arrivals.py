@@ -25,8 +25,8 @@ def start(
     """Load each new file of ``landing`` as one run, in order of arrival.
 
     Files that wait together are settled together, ``files_per_load`` at most; the result is
-    that of loading them one by one. A file without the required columns is passed over, and one
-    that cannot be read is recorded as failed; the others are loaded.
+    that of loading them one by one. A file without the required columns, or that cannot be read,
+    is recorded as failed and the others are loaded; ``ingest.retry_failed`` offers it again.
 
     The stream only tells which files are new; it carries paths, not content. A file that comes
     up again after a crash is recognised by its checksum, so it is loaded exactly once. With
