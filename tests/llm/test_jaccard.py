@@ -5,8 +5,10 @@ import pytest
 from near_copies import brute, groups, shingle_set
 
 from tideline.llm.components import components
+from tideline.llm import jaccard
 from tideline.llm.jaccard import (
-    jaccard_join, most_shared, one_of_each, prefix_length, signature,
+    common_bit, decode_run, encode_run, frequent, jaccard_join, level_of, most_shared,
+    one_of_each, prefix, prefix_length, shingles, signature,
 )
 
 def make_rows(seed, count=80, vocabulary=60):
@@ -71,6 +73,45 @@ def test_signatures_never_say_too_little():
         assert min(n, m) >= most_shared(signature(a), signature(b), n, m) >= both
 
 
+def test_runs_of_tokens():
+    rnd = np.random.default_rng(3)
+    for high, count in ((1 << 40, 5), (1 << 40, 1), (1 << 30, 5000), (50, 400), (1 << 40, 90_000)):
+        short = np.sort(rnd.integers(0, high, count).astype(np.uint64))
+        tokens, counts = decode_run(*encode_run(short))
+        due = np.unique(short, return_counts=True)
+        assert (tokens == due[0]).all() and (counts == due[1]).all()
+
+
+def test_frequent_tokens_are_counted_exactly(documents, monkeypatch):
+    """Over several runs a task, and ranges; a token counts once a document."""
+    monkeypatch.setattr(jaccard, "LEAST", 3)
+    monkeypatch.setattr(jaccard, "RUN_TOKENS", 64)
+    rows = make_rows(7) + [(900 + i, "one two three four five six " * 3) for i in range(9)]
+    sets = [shingles((t or "").encode()) for _, t in rows]
+    tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
+    short, levels = frequent(documents(*rows), 5)
+    due = {int(t) >> 24: int(np.log2(n)) for t, n in zip(tokens, counts) if n >= 3}
+    assert dict(zip(short.tolist(), levels.tolist())) == due
+    assert level_of(tokens, (short, levels)).tolist() == [due.get(int(t) >> 24, 0) for t in tokens]
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    assert len(frequent(documents(*rows), 5)[0]) == 2
+
+
+def test_any_order_finds_similar_sets():
+    rnd = np.random.default_rng(5)
+    pool = rnd.integers(0, 1 << 63, 400).astype(np.uint64)
+    known = (np.sort(pool[:300] >> np.uint64(24)), rnd.integers(4, 9, 300).astype(np.uint8))
+    for _ in range(200):
+        a = np.unique(rnd.choice(pool, 60))
+        b = np.unique(np.concatenate([a[rnd.random(len(a)) < 0.9], rnd.choice(pool, 3)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 75 * (len(a) + len(b) - both):
+            continue
+        for order in range(3):
+            p, q = (prefix(x, level_of(x, known), order, 75) for x in (a, b))
+            assert len(np.intersect1d(p, q)) and common_bit(signature(p), signature(q))
+
+
 def test_components(spark):
     rnd = random.Random(6)
     links = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)]

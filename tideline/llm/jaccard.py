@@ -3,8 +3,12 @@
 Two sets of similarity t share at least one of their first n - ceil(t n) + 1 tokens under any
 order of all tokens. Here there are three orders. Each puts tokens that many documents have at
 the end, and breaks ties by a hash of its own. A pair is a candidate if it shares a token in the
-prefixes of the first order, which is a join by token, and in those of the other two, which the
-pairs of that join are tested for; what is left is verified on the whole sets.
+prefixes of the first order, which is a join by token, and in those of the other two, which bit
+maps of these prefixes tell before any set moves; what is left is verified on the whole sets.
+
+Documents per token are counted exactly, over all tokens of all documents: tasks send sorted
+runs of tokens in three bytes each, dealt out by range. The most frequent ones, a fixed number,
+are known to everybody.
 
 Under one order, the tokens up to the end of the prefix that ends first are all in both prefixes.
 So besides what the prefixes share, a pair shares at most what is left of that set, and a pair
@@ -27,12 +31,20 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .common import maybe_in, ship
 from .components import components
+from .tokens import byte_slices
 from .words import mixed, utf8, window_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 75
-#: The frequency of a token is counted in one of this many buckets, with all that fall there.
-FREQUENCY_BITS = 17
+#: Tokens whose frequency everybody knows, at most: the most frequent ones. About 9 MB.
+FREQUENT = 1 << 20
+#: Documents that a token has to be in to be one of them.
+LEAST = 16
+#: Tokens that a task counts before it sends them, and bytes of text that make a range of tokens.
+RUN_TOKENS = 1 << 22
+RANGE_BYTES = 32 << 20
+#: Bytes of texts whose sets are held at once.
+SLICE_BYTES = 4 << 20
 ORDERS = 3
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -50,46 +62,117 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def buckets(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
+#: Tokens are counted by their upper bits; which ones share them is the same for everybody.
+_BITS = 40
+_RUN = "range int, width int, gaps binary, at binary, more binary"
 
 
-def frequencies(docs: DataFrame, size: int) -> np.ndarray:
-    """Documents per bucket of tokens, over all of ``docs``; 2 ** FREQUENCY_BITS numbers."""
+def encode_run(short: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
+    """Sorted numbers below 2**40 as the width and bytes of the gaps between the distinct ones,
+    and the places and further copies of those that stand several times."""
+    distinct, counts = np.unique(short, return_counts=True)
+    gaps = np.diff(distinct, prepend=np.uint64(0)).astype("<u8")
+    # The first gap is the range's offset, so it has all five bytes by itself.
+    width = 3 if len(gaps) and int(gaps[1:].max(initial=0)) < 1 << 24 else 5
+    packed = gaps.view(np.uint8).reshape(-1, 8)
+    head = packed[:1, :5].tobytes()
+    at = np.flatnonzero(counts > 1)
+    more = (counts[at] - 1).astype("<u4")
+    return width, head + packed[1:, :width].tobytes(), at.astype("<u4").tobytes(), more.tobytes()
 
-    def run(batches):
-        totals = np.zeros(1 << FREQUENCY_BITS, np.int64)
-        for batch in batches:
-            for text in batch.column("text"):
-                totals += np.bincount(buckets(shingles(utf8(text), size)), minlength=len(totals))
-        some = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(totals[some])], names=["bucket", "n"]
-        )
 
-    rows = docs.select("text").mapInArrow(run, "bucket bigint, n bigint")
-    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    totals = np.zeros(1 << FREQUENCY_BITS, np.int64)
-    totals[found["bucket"]] = found["n"]
-    return totals
+def decode_run(width: int, gaps: bytes, at: bytes, more: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of a run, and how often each stands."""
+    body = np.frombuffer(gaps, np.uint8, offset=5).reshape(-1, width)
+    wide = np.zeros((len(body) + 1, 8), np.uint8)
+    wide[0, :5] = np.frombuffer(gaps, np.uint8, count=5)
+    wide[1:, :width] = body
+    counts = np.ones(len(wide), np.int64)
+    counts[np.frombuffer(at, "<u4")] += np.frombuffer(more, "<u4")
+    return np.cumsum(wide.view("<u8").ravel()), counts
+
 
+def _slices(batches, name: str = "text"):
+    """Parts of Arrow batches of about ``SLICE_BYTES`` of text each, with their texts."""
+    for batch in batches:
+        column = batch.column(name)
+        sizes = [len(x.as_buffer() or b"") if x.is_valid else 0 for x in column]
+        for a, b in byte_slices(sizes, SLICE_BYTES):
+            yield batch.slice(a, b - a), [*map(utf8, column.slice(a, b - a))]
 
-def levels(totals: np.ndarray) -> np.ndarray:
-    """How frequent the tokens of a bucket are, in powers of two above the usual bucket.
 
-    What doesn't stand out from the mass of rare tokens in its bucket counts as rare.
+def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens by their upper bits, sorted, and the logarithm of how many
+    documents have each.
+
+    A task sorts runs of tokens and sends a row per run and range; a token that many documents
+    have is one entry of a run. There are as many ranges as keep one small.
     """
-    usual = max(1.0, float(np.median(totals)))
-    return np.maximum(0, np.ceil(np.log2(np.maximum(totals, 1) / (2 * usual)))).astype(np.uint64)
+    total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    ranges = max(8, int(total // RANGE_BYTES)).bit_length()
+    shift = np.uint64(_BITS - ranges)
+
+    def send(parts):
+        short = np.sort(np.concatenate(parts) >> np.uint64(64 - _BITS))
+        cuts = np.flatnonzero(np.diff(short >> shift)) + 1
+        rows = [(int(x[0] >> shift), *encode_run(x)) for x in np.split(short, cuts)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(c, k) for c, k in
+                zip(zip(*rows), (pa.int32(), pa.int32(), *[pa.binary()] * 3))
+            ],
+            names=["range", "width", "gaps", "at", "more"],
+        )
+
+    def run(batches):
+        parts, held = [], 0
+        for _, texts in _slices(batches):
+            for text in texts:
+                parts.append(shingles(text, size))
+                held += len(parts[-1])
+                if held >= RUN_TOKENS:
+                    yield send(parts)
+                    parts, held = [], 0
+        if held:
+            yield send(parts)
+
+    def count(runs: pa.Table) -> pa.Table:
+        found = [decode_run(*row.values()) for row in runs.drop(["range"]).to_pylist()]
+        tokens = np.concatenate([x for x, _ in found])
+        counts = np.concatenate([x for _, x in found])
+        order = np.argsort(tokens, kind="stable")
+        tokens, counts = tokens[order], counts[order]
+        heads = np.flatnonzero(np.diff(tokens, prepend=np.uint64(1 << 63)))
+        sums = np.add.reduceat(counts, heads)
+        some = sums >= LEAST
+        return pa.table({"t": tokens[heads][some].view(np.int64), "n": sums[some]})
+
+    parts = docs.select("text").mapInArrow(run, _RUN)
+    counts = parts.groupBy("range").applyInArrow(count, "t bigint, n bigint")
+    top = counts.orderBy(F.desc("n"), "t").limit(FREQUENT).toArrow()
+    tokens = top.column("t").to_numpy().astype(np.uint64)
+    order = np.argsort(tokens)
+    levels = np.log2(np.maximum(top.column("n").to_numpy(), 1)).astype(np.uint8)
+    return tokens[order], levels[order]
+
+
+def level_of(tokens: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How frequent tokens are, in powers of two; zero for those that are not known."""
+    short, levels = known
+    if not len(short):
+        return np.zeros(len(tokens), np.uint64)
+    mine = tokens >> np.uint64(64 - _BITS)
+    at = np.minimum(np.searchsorted(short, mine), len(short) - 1)
+    return np.where(short[at] == mine, levels[at], 0).astype(np.uint64)
 
 
 def prefix(tokens: np.ndarray, level: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of a set under one of the orders."""
+    """The first tokens of a set under one of the orders; ``level`` says how frequent each is."""
     count = prefix_length(len(tokens), percent)
     if not count:
         return tokens
     rank = mixed(tokens + np.uint64(order)) >> np.uint64(6)
-    rank |= np.minimum(level[buckets(tokens)], np.uint64(63)) << np.uint64(58)
+    rank |= np.minimum(level, np.uint64(63)) << np.uint64(58)
     return tokens[np.argpartition(rank, count - 1)[:count]]
 
 
@@ -101,15 +184,16 @@ def sketches(docs: DataFrame, level, size: int, percent: int, prefixes: bool) ->
     def run(batches):
         import xxhash
 
-        for batch in batches:
-            sets = [shingles(utf8(x), size) for x in batch.column("text")]
+        for batch, texts in _slices(batches):
+            sets = [shingles(x, size) for x in texts]
             columns = {
                 "id": batch.column("id"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "key": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
             }
             if prefixes:
-                found = [prefix(s, level.value, 0, percent).view(np.int64) for s in sets]
+                known = level.value
+                found = [prefix(s, level_of(s, known), 0, percent).view(np.int64) for s in sets]
                 columns["p0"] = pa.array(found, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(columns)
 
@@ -134,24 +218,41 @@ def most_shared(a: bytes, b: bytes, n: int, m: int) -> int:
     return min(n - int((one & ~two).sum()), m - int((two & ~one).sum()))
 
 
-def whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``rep``, the set's ``tokens``, how many they are (``n``) and their ``signature``."""
+def common_bit(a: bytes, b: bytes) -> bool:
+    """Whether two signatures have a bit in common, as those of sets with a common token do."""
+    one, two = (np.unpackbits(np.frombuffer(x, np.uint8)) for x in (a, b))
+    size = min(len(one), len(two))
+    one, two = (x.reshape(size, -1).any(axis=1) for x in (one, two))
+    return bool((one & two).any())
+
+
+def whole_sets(docs: DataFrame, level, size: int, percent: int) -> DataFrame:
+    """``rep``, the set's ``tokens``, how many they are (``n``), their ``signature``, and
+    ``orders``: the signatures of the prefixes under all orders but the first."""
 
     def run(batches):
-        for batch in batches:
-            sets = [shingles(utf8(x), size) for x in batch.column("text")]
+        known = level.value
+        for batch, texts in _slices(batches):
+            sets = [shingles(x, size) for x in texts]
+            levels = [level_of(s, known) for s in sets]
+            orders = [
+                [signature(prefix(s, v, i, percent)) for i in range(1, ORDERS)]
+                for s, v in zip(sets, levels)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("rep"),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(list(map(signature, sets)), pa.binary()),
+                    pa.array(orders, pa.list_(pa.binary())),
                 ],
-                names=["rep", "tokens", "n", "signature"],
+                names=["rep", "tokens", "n", "signature", "orders"],
             )
 
     return docs.select("rep", "text").mapInArrow(
-        run, "rep bigint, tokens array<bigint>, n bigint, signature binary"
+        run,
+        "rep bigint, tokens array<bigint>, n bigint, signature binary, orders array<binary>",
     )
 
 
@@ -166,18 +267,13 @@ def plausible(counts: DataFrame, percent: int) -> DataFrame:
     return counts.where(fits & (F.col("c") + left >= least)).select("a", "b", "c")
 
 
-def similar(a: np.ndarray, b: np.ndarray, level: np.ndarray, percent: int) -> bool:
-    """Whether two sets are similar enough; first, whether their prefixes under the other
-    orders have a token in common."""
-    shared = np.intersect1d(a, b, assume_unique=True)
-    for order in range(1, ORDERS):
-        one, two = (prefix(x, level, order, percent) for x in (a, b))
-        if not np.intersect1d(one, two, assume_unique=True).size:
-            return False
-    return 100 * len(shared) >= percent * (len(a) + len(b) - len(shared))
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets are similar enough."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose sets are similar enough.
 
     The small signatures travel first, and whole sets only for pairs that those leave.
@@ -193,7 +289,7 @@ def verified(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFram
             good = [
                 similar(
                     p.values.to_numpy().view(np.uint64), q.values.to_numpy().view(np.uint64),
-                    level.value, percent,
+                    percent,
                 )
                 for p, q in zip(x, y)
             ]
@@ -203,20 +299,24 @@ def verified(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFram
 
 
 def _by_signature(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that may be similar enough by what their signatures let them share."""
-    small = sets.select("rep", "n", "signature")
-    both = pairs.join(small.toDF("a", "n", "x"), "a").join(small.toDF("b", "m", "y"), "b")
+    """The pairs whose prefixes may meet under every order, and whose signatures let them share
+    enough."""
+    small = sets.select("rep", "n", "signature", "orders")
+    both = pairs.join(small.toDF("a", "n", "x", "p"), "a").join(small.toDF("b", "m", "y", "q"), "b")
 
     def run(batches):
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("x", "y", "n", "m"))
+            columns = (batch.column(c).to_pylist() for c in ("x", "y", "n", "m", "p", "q"))
             good = [
-                (100 + percent) * most_shared(x, y, n, m) >= percent * (n + m)
-                for x, y, n, m in zip(*columns)
+                all(map(common_bit, p, q))
+                and (100 + percent) * most_shared(x, y, n, m) >= percent * (n + m)
+                for x, y, n, m, p, q in zip(*columns)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    found = both.select("a", "b", "x", "y", "n", "m").mapInArrow(run, "a bigint, b bigint")
+    found = both.select("a", "b", "x", "y", "n", "m", "p", "q").mapInArrow(
+        run, "a bigint, b bigint"
+    )
     return stored(found.distinct())
 
 
@@ -242,7 +342,7 @@ def linked(
         wanted = stored(wanted.distinct())
         texts = maybe_in(docs, F.col("rep"), wanted, "rep").where("_maybe").drop("_maybe")
         texts = texts.join(wanted, "rep", "left_semi")
-        return verified(pairs, stored(whole_sets(texts, size)), level, percent)
+        return verified(pairs, stored(whole_sets(texts, level, size, percent)), percent)
 
     with_pivot = rows.where("pivot < rep").groupBy(
         F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("n").alias("m")
@@ -293,7 +393,7 @@ def jaccard_join(
     spark = docs.sparkSession
     ship(spark)
     source = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"))
-    level = spark.sparkContext.broadcast(levels(frequencies(source, size)))
+    level = spark.sparkContext.broadcast(frequent(source, size))
     sketch = stored(sketches(source, level, size, percent, prefixes=False))
 
     # Equal sets are one class, and its smallest id stands for it.
