@@ -58,6 +58,30 @@ def test_small_window(documents):
     assert results(dedup_substrings(documents(*enumerate(texts)), window=3)) == brute(texts, 3)
 
 
+@pytest.mark.parametrize("counted", [2000, 0])
+def test_window_of_more_words_than_64(documents, monkeypatch, counted):
+    monkeypatch.setattr(substrings, "COUNTED_CONTENTS", counted)
+    words = [f"p{i}" for i in range(70)]
+    swapped = [words[64], *words[1:64], words[0], *words[65:]]
+    texts = [" ".join(x) for x in (words, swapped, ["x", *words, "y"], words[:65], ["z", *swapped])]
+    assert results(dedup_substrings(documents(*enumerate(texts)), window=65)) == brute(texts, 65)
+
+
+def test_rows_without_id_whose_32_bit_hashes_are_equal(documents):
+    # The first two texts have one Spark hash of 32 bits.
+    repeated = " ".join(f"p{i}" for i in range(40))
+    texts = [
+        f"{repeated} x28138",
+        " ".join(f"q{i}" for i in range(44)) + " y93220",
+        repeated,
+    ]
+    df = documents((None, texts[0]), (None, texts[1]), (7, texts[2]))
+    same = df.selectExpr("doc_id", "hash(text) AS h").where("doc_id IS NULL")
+    assert same.select("h").distinct().count() == 1
+    found = [(r["n_words"], r["n_removed"], r["kept"]) for r in dedup_substrings(df).collect()]
+    assert sorted(found) == sorted(brute(texts, 35))
+
+
 def test_spans(documents):
     passage = " ".join(f"p{i}" for i in range(40))
     found = dedup_substrings(documents((1, f"x {passage} y"), (2, f"{passage} z")))

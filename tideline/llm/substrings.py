@@ -183,7 +183,7 @@ def _segments(docs: DataFrame, window: int, places: bool) -> DataFrame:
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    more = f", id {kind}, h int, first int, last int" if places else ""
+    more = f", id {kind}, h binary, first int, last int" if places else ""
     return docs.mapInArrow(gathered, f"g bigint, c bigint{more}")
 
 
@@ -329,7 +329,8 @@ def dedup_substrings(
     text = docs[text_col]
     source = docs.select(
         docs[id_col].alias("id"),
-        F.hash(F.coalesce(text, F.lit(""))).alias("h"),
+        # Rows of one id and digest have one text, so what holds for one holds for all of them.
+        F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("h"),
         text.alias("text"),
     )
     kind = source.schema["id"].dataType.simpleString()

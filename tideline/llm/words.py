@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import xxhash
 
-#: Odd multipliers of the hashes in a window, one per place, from a fixed rule.
-_FACTORS = [pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(64)]
+
+@cache
+def _factors(size: int) -> np.ndarray:
+    """Odd multipliers of the hashes in a window; no two places have the same."""
+    return np.array(
+        [pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(size)], np.uint64
+    )
 
 
 def word_hashes(text: bytes) -> np.ndarray:
@@ -30,8 +37,8 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     if count <= 0:
         return np.zeros(0, np.uint64)
     total = np.zeros(count, np.uint64)
-    for i in range(size):
-        total += hashes[i : i + count] * np.uint64(_FACTORS[i % 64])
+    for i, factor in enumerate(_factors(size)):
+        total += hashes[i : i + count] * factor
     return mixed(total)
 
 
