@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -58,6 +59,15 @@ def test_short_is_the_plain_algorithm():
         assert merges.short(word, "</w>") == merges.apply([*word[:-1], word[-1] + "</w>"])
 
 
+def test_every_character_of_the_plain_path():
+    known = codec(PATH)
+    letters = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA0, 0x250), 0x300, 0x301, 0x327]]
+    for x in letters:
+        for text in (x, f"A{x}b", f"'{x}s1{x}", f"{x}{x.upper()}é", f"e{x}\u0301 {x}"):
+            ids = np.frombuffer(known.encode(text.encode()), np.int32).tolist()
+            assert (ids, known.decode(ids)) == due(text)
+
+
 def test_readable(documents):
     df = documents((1, "Héllo  WORLD 👍"), (2, None))
     rows = bpe_decode(bpe_encode(df, PATH), PATH, readable=True).collect()

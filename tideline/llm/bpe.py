@@ -34,10 +34,17 @@ from .words import utf8
 #: Bytes of text or ids that are worked on at once.
 SLICE_BYTES = 4 << 20
 KNOWN_RUNS = 400_000
-KNOWN_WORDS = 150_000
-KNOWN_PAIRS = 200_000
+KNOWN_WORDS = 200_000
+KNOWN_PAIRS = 400_000
 RUN_BYTES = 64
 
+#: Lengths of tokens that are tried at every place.
+FEW = (2, 1)
+#: Letters that NFC leaves alone and that lower case maps to one letter, as ranges of a pattern,
+#: and their lower case. ASCII and these need no table of Unicode.
+LATIN = "À-ÖØ-öø-įı-ſ"
+LATIN_LOWER = "a-zß-öø-ſ"
+
 _open: dict[str, "Codec"] = {}
 
 
@@ -53,11 +60,15 @@ class Merges:
             self.made.setdefault(a + b, (a, b))
         #: Symbols that must follow a position before nothing more can reach back over it.
         self.lookahead = max(map(len, self.parts.values()))
-        #: The longest token by its first three symbols, as characters.
-        self.longest: dict[str, int] = {}
-        for parts in self.parts.values():
-            start = "".join(x[0] for x in parts[:3])
-            self.longest[start] = max(len(parts), self.longest.get(start, 0))
+        #: The lengths of tokens of three symbols or more that don't end a word, the longest
+        #: first and with the shorter ones behind, by their first three symbols.
+        lengths: dict[str, set[int]] = {}
+        for token, parts in self.parts.items():
+            if len(token) == len(parts) > 2:
+                lengths.setdefault(token[:3], set()).add(len(parts))
+        self.lengths = {
+            start: (*sorted(found, reverse=True), *FEW) for start, found in lengths.items()
+        }
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self._edges: tuple[dict, dict] = ({}, {})
 
@@ -109,41 +120,42 @@ class Merges:
         self.pairs[before, token] = fits
         return fits
 
-
     def short(self, symbols: str, suffix: str) -> list[str]:
         """Tokens of a word that the lookahead covers whole, the longest fitting one first.
 
         There is only one way to any position on which all neighbours fit, so no position is
         come to twice.
         """
-        parts, pairs, longest = self.parts, self.pairs, self.longest.get
+        parts, pairs, lengths = self.parts, self.pairs, self.lengths.get
         path: list[str] = []
+        turns: list[Iterator[int]] = []  # for each token of the path, the lengths not tried yet
         before, at, end = None, 0, len(symbols)
-        size = longest(symbols[:3], 2)
-        while at < end:
-            if size > end - at:
-                size = end - at
-            while size:
-                token = symbols[at : at + size]
-                if at + size == end:
-                    token += suffix
-                if token in parts:
-                    fit = pairs.get((before, token))
-                    if fit or fit is None and self.fits(before, token):
-                        break
-                size -= 1
-            if size:
-                path.append(token)
-                at += size
-                before, size = token, longest(symbols[at : at + 3], 2)
-            elif path:
-                size = len(parts[path.pop()])
-                at -= size
-                size -= 1
-                before = path[-1] if path else None
-            else:
-                raise ValueError(f"no tokens make {symbols!r}")
-        return path
+        while True:
+            token = symbols[at:] + suffix
+            if token in parts:
+                fit = pairs.get((before, token))
+                if fit or fit is None and self.fits(before, token):
+                    path.append(token)
+                    return path
+            sizes = iter(lengths(symbols[at : at + 3], FEW))
+            while True:
+                for size in sizes:
+                    token = symbols[at : at + size]
+                    if at + size < end and token in parts:
+                        fit = pairs.get((before, token))
+                        if fit or fit is None and self.fits(before, token):
+                            break
+                else:
+                    if not path:
+                        raise ValueError(f"no tokens make {symbols!r}")
+                    at -= len(path.pop())
+                    sizes = turns.pop()
+                    before = path[-1] if path else None
+                    continue
+                break
+            path.append(token)
+            turns.append(sizes)
+            before, at = token, at + size
 
 
 class Transducer:
@@ -225,18 +237,20 @@ class Codec:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         bases = [*self.table.values(), *(c + self.suffix for c in self.table.values())]
         self.merges = Merges(merges, bases)
-        # Which characters are letters is for the library to say; on ASCII it's plain.
+        # Which characters are letters is for the library to say; on Latin ones it's plain.
         library = Tokenizer.from_file(path)
         self.normal = library.normalizer.normalize_str
         self.split = library.pre_tokenizer.pre_tokenize_str
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        plain = split.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+        plain = split.replace(r"\p{L}", LATIN_LOWER).replace(r"\p{N}", "0-9")
         self.plain_words = re.compile(plain, re.ASCII).findall
+        self.is_plain = re.compile(f"[\\x00-\\x7f{LATIN}]*").fullmatch
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
         self.packed = {t: np.int32(i).tobytes() for t, i in self.ids.items()}
         self.runs: dict[bytes, bytes] = {}
         self.old_runs: dict[bytes, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.old_known: dict[str, bytes] = {}
         self.spell = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         bytes_of = {c: b for b, c in self.table.items()}
         self.raw = {
@@ -248,18 +262,23 @@ class Codec:
     def word(self, word: str, mapped: bool = False) -> bytes:
         """Ids of one word of the split, as 32-bit integers; ``mapped`` if its bytes are
         written as visible characters already."""
-        symbols = word if mapped or word.isprintable() else word.translate(self.table)
+        symbols = word
+        if not mapped and not (word.isascii() and word.isprintable()):
+            symbols = word.encode().decode("latin-1").translate(self.table)
         found = self.known.get(symbols)
+        if found is not None:
+            return found
+        found = self.old_known.get(symbols)
         if found is None:
             if len(symbols) <= self.merges.lookahead:
                 tokens = self.merges.short(symbols, self.suffix)
             else:
                 tokens = Transducer(self.merges, self.suffix).feed(symbols, final=True)
             found = b"".join(map(self.packed.__getitem__, tokens))
-            if len(symbols) <= RUN_BYTES:
-                if len(self.known) >= KNOWN_WORDS:
-                    self.known.clear()
-                self.known[symbols] = found
+        if len(symbols) <= RUN_BYTES:
+            if len(self.known) >= KNOWN_WORDS // 2:
+                self.old_known, self.known = self.known, {}
+            self.known[symbols] = found
         return found
 
     def run(self, run: bytes) -> bytes:
@@ -267,7 +286,7 @@ class Codec:
         found = self.old_runs.get(run)
         if found is None:
             text = run.decode()
-            if text.isascii() and "<|" not in text:
+            if "<|" not in text and (text.isascii() or self.is_plain(text)):
                 found = b"".join(map(self.word, self.plain_words(text.lower())))
             else:
                 found = b"".join(self._parts(text))
