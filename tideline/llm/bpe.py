@@ -33,8 +33,8 @@ from .words import utf8
 
 #: Bytes of text or ids that are worked on at once.
 SLICE_BYTES = 4 << 20
-KNOWN_RUNS = 400_000
-KNOWN_WORDS = 200_000
+KNOWN_RUNS = 1_000_000
+KNOWN_WORDS = 400_000
 KNOWN_PAIRS = 400_000
 RUN_BYTES = 64
 
