@@ -7,7 +7,7 @@ from near_copies import brute, groups, shingle_set
 from tideline.llm.components import components
 from tideline.llm import jaccard
 from tideline.llm.jaccard import (
-    common_bit, decode_run, encode_run, frequent, jaccard_join, level_of, most_shared,
+    common_bit, decode_run, encode_run, enough_left, frequent, jaccard_join, level_of, most_shared,
     one_of_each, prefix, prefix_length, shingles, signature,
 )
 
@@ -112,6 +112,43 @@ def test_any_order_finds_similar_sets():
             assert len(np.intersect1d(p, q)) and common_bit(signature(p), signature(q))
 
 
+def test_passage_that_many_share(documents):
+    """Documents around the similarity, which differ in how much they have besides a passage."""
+    rnd = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(120):
+        own = [f"o{i}x{j}" for j in range(rnd.randrange(0, 22))]
+        at = rnd.randrange(len(own) + 1)
+        rows.append((i + 1, " ".join(own[:at] + passage + own[at:])))
+    found = jaccard_join(documents(*rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute(rows)
+
+
+def test_places_never_hide_similar_sets(spark):
+    """What is left from the first common token on is enough wherever sets are similar."""
+    rnd = np.random.default_rng(11)
+    pool = rnd.integers(0, 1 << 63, 500).astype(np.uint64)
+    known = (np.sort(pool[:300] >> np.uint64(24)), rnd.integers(4, 9, 300).astype(np.uint8))
+    rows = []
+    for _ in range(300):
+        a = np.unique(rnd.choice(pool, 80))
+        b = np.unique(np.concatenate([a[rnd.random(len(a)) < 0.9], rnd.choice(pool, 4)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 75 * (len(a) + len(b) - both):
+            continue
+        p, q = (prefix(x, level_of(x, known), 0, 75).tolist() for x in (a, b))
+        i = next(k for k, t in enumerate(p) if t in q)
+        assert [t for t in p if t in q] == [t for t in q if t in p]
+        rows.append((len(a), len(b), i, q.index(p[i])))
+    assert len(rows) > 50
+    df = spark.createDataFrame(rows, "n int, m int, i int, j int")
+    assert df.where(enough_left(75)).count() == len(rows)
+    # Ten common tokens at the end of twenty are too few, and so are sizes too far apart.
+    none = [(20, 20, 10, 10), (20, 20, 3, 0), (20, 14, 0, 0)]
+    assert spark.createDataFrame(none, df.schema).where(enough_left(75)).count() == 0
+
+
 def test_components(spark):
     rnd = random.Random(6)
     links = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)]

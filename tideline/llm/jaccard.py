@@ -19,13 +19,19 @@ documents with a token are compared with one of them only, the same one for most
 group of near copies. In the second, all pairs that share a token are compared which the links of
 the first turn have not connected yet. So no link between components is missed, and a group of
 near copies doesn't turn into all of its pairs.
+
+The second turn looks at places too. What a pair shares starts at the first token that both have
+under the first order, so neither may have less left from there on than the similarity asks for.
+Documents that only share a passage, however many, have spent too many of their own rarer tokens
+when they come to it, and are not even paired. The pairs that are left have their prefixes' common
+tokens counted.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -167,13 +173,15 @@ def level_of(tokens: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.nda
 
 
 def prefix(tokens: np.ndarray, level: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of a set under one of the orders; ``level`` says how frequent each is."""
+    """The first tokens of a sorted set under one of the orders, in that order; ``level`` says how
+    frequent each is."""
     count = prefix_length(len(tokens), percent)
     if not count:
         return tokens
     rank = mixed(tokens + np.uint64(order)) >> np.uint64(6)
     rank |= np.minimum(level, np.uint64(63)) << np.uint64(58)
-    return tokens[np.argpartition(rank, count - 1)[:count]]
+    first = np.sort(np.argpartition(rank, count - 1)[:count])
+    return tokens[first[np.argsort(rank[first], kind="stable")]]
 
 
 def sketches(docs: DataFrame, level, size: int, percent: int, prefixes: bool) -> DataFrame:
@@ -256,15 +264,30 @@ def whole_sets(docs: DataFrame, level, size: int, percent: int) -> DataFrame:
     )
 
 
+def least_shared(percent: int) -> Column:
+    """How many tokens similar sets of ``n`` and ``m`` have in common at least."""
+    return F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+
+
+def sizes_fit(percent: int) -> Column:
+    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+
+
+def enough_left(percent: int) -> Column:
+    """Whether sets of ``n`` and ``m`` tokens may be similar if the first token that both have is
+    at place ``i`` of the one and ``j`` of the other."""
+    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    return sizes_fit(percent) & (left >= least_shared(percent))
+
+
 def plausible(counts: DataFrame, percent: int) -> DataFrame:
     """Pairs that share enough tokens of their prefixes: ``a``, ``b`` and ``c``, how many.
 
     ``counts`` has ``c`` and the sizes ``n`` of ``a`` and ``m`` of ``b``.
     """
-    least = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
     left = F.ceil(percent * F.greatest("n", "m") / 100) - 1
-    fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return counts.where(fits & (F.col("c") + left >= least)).select("a", "b", "c")
+    enough = F.col("c") + left >= least_shared(percent)
+    return counts.where(sizes_fit(percent) & enough).select("a", "b", "c")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -320,6 +343,15 @@ def _by_signature(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(found.distinct())
 
 
+def _prefixes_meet(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs with ``c``, how many tokens their prefixes under the first order share."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+    heads = maybe_in(reps.select("rep", "p0"), F.col("rep"), wanted, "rep").where("_maybe")
+    heads = heads.select("rep", "p0")
+    both = pairs.join(heads.toDF("a", "p"), "a").join(heads.toDF("b", "q"), "b")
+    return both.withColumn("c", F.size(F.array_intersect("p", "q"))).drop("p", "q")
+
+
 def linked(
     reps: DataFrame, docs: DataFrame, extra: DataFrame, level, size: int, percent: int
 ) -> DataFrame:
@@ -328,7 +360,7 @@ def linked(
     ``reps`` has ``rep``, ``n`` and ``p0``; ``docs`` has ``rep`` and ``text``; ``extra`` has links
     known beforehand.
     """
-    tokens = reps.select("rep", "n", F.explode("p0").alias("t"))
+    tokens = reps.select("rep", "n", F.posexplode("p0").alias("i", "t"))
     # The pivot of a token: the smallest representative that has it.
     repeated = tokens.groupBy("t").agg(F.count("*").alias("c"), F.min("rep").alias("pivot"))
     repeated = stored(repeated.where("c > 1").select("t", "pivot"))
@@ -356,17 +388,20 @@ def linked(
 
     # What has a token in common across components, and was not compared yet.
     named = rows.join(group, F.col("rep") == F.col("node"), "left").select(
-        "t", "rep", "n", "pivot", F.coalesce("component", "rep").alias("g")
+        "t", "rep", "n", "i", "pivot", F.coalesce("component", "rep").alias("g")
     )
     of_pivot = group.select(F.col("node").alias("pivot"), F.col("component").alias("pg"))
     strange = named.join(of_pivot, "pivot", "left").where("g != coalesce(pg, pivot)")
     across = stored(strange.select("t").distinct())
     open_ = stored(named.join(across, "t", "left_semi").drop("pivot"))
-    one = open_.select("t", F.col("rep").alias("a"), "n", F.col("g").alias("ga"))
-    two = open_.select("t", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("g").alias("gb"))
-    shared = one.join(two, "t").where("a < b AND ga != gb")
-    shared = shared.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"))
-    second = plausible(shared, percent).select("a", "b").distinct()
+    one, two = (
+        open_.select("t", *(F.col(c).alias(d) for c, d in zip(("rep", "n", "i", "g"), names)))
+        for names in (("a", "n", "i", "ga"), ("b", "m", "j", "gb"))
+    )
+    paired = one.join(two, "t").where(F.expr("a < b AND ga != gb") & enough_left(percent))
+    paired = stored(paired.select("a", "b", "n", "m").distinct())
+    counted = _prefixes_meet(paired, reps)
+    second = plausible(counted, percent).select("a", "b").distinct()
     second = stored(second.join(first, ["a", "b"], "left_anti"))
     return components(links.unionByName(with_sets(second)))
 
