@@ -116,7 +116,10 @@ def test_ledger_steps_and_reports(spark, loaded):
     assert row["notes"] == "new=1, updated=1, unchanged=1, skipped_missing_dims=0"
     assert 0 < row["duration_seconds"] < 600 and row["finished_at"] > row["started_at"]
     assert row["checksum"] and row["file_size_bytes"] > 0 and row["storage_status"] == "success"
-    assert json.loads(row["process_metrics"])["profile"]["natural_keys"] == 3
+    document = json.loads(row["process_metrics"])
+    assert set(document) == {"timings", "rows", "unique"}
+    assert document["rows"] == {"total": 3, "natural_keys": 3}
+    assert set(document["unique"]) == {"ies", "territories", "programs"}
     assert json.loads(row["storage_paths"])["data_quality_json"]["path"] == (
         f"reports/{row['file_id']}/data_quality.json")
     names = {r["step_name"] for r in house.table("ops/step").collect()}
@@ -267,6 +270,27 @@ def test_backlog_equals_one_by_one(spark, loaded, tmp_path):
         step, "first_seen_at", "last_seen_at")
     assert Warehouse(spark, both).newest() == found[3]["file_id"]
 
+    # Every file has its own steps and document, as if it had been loaded alone.
+    ids = [found[i]["file_id"] for i in (0, 1, 3)]
+
+    def told(where):
+        house = Warehouse(spark, where)
+        steps = house.table("ops/step").where(F.col("file_id").isin(ids)).collect()
+        runs = house.ledger().where(F.col("file_id").isin(ids)).collect()
+        documents = {r["file_id"]: json.loads(r["process_metrics"]) for r in runs}
+        details = {
+            (r["file_id"], r["step_name"]): (r["row_count"], json.loads(r["detail"] or "{}"))
+            for r in steps
+        }
+        return details, {i: (d["rows"], d["unique"]) for i, d in documents.items()}
+
+    alone, together = told(root), told(both)
+    assert alone[1] == together[1] and set(alone[0]) == set(together[0])
+    assert {i for i, _ in alone[0]} == set(ids)
+    for key, (count, detail) in together[0].items():
+        assert detail.pop("files") == 3
+        assert (count, detail) == alone[0][key]
+
 
 def test_a_retry_leaves_nothing_of_the_first_try(spark, tmp_path, monkeypatch):
     """Load a; b fails after its versions are written; load c; retry b, which closes nothing."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import LOAD_METRICS, RECENT_CHECKS, RECENT_STEPS
@@ -87,8 +87,8 @@ def timeline(ledger: DataFrame, quality_runs: DataFrame) -> DataFrame:
     return long.where("value is not null")
 
 
-def load_profile(rows: DataFrame, by: str = "file_id") -> DataFrame:
-    """Rows, natural keys and distinct dimension members per file."""
+def load_profile(rows: DataFrame, by: str = "file_id", *more: Column) -> DataFrame:
+    """Rows, natural keys and distinct dimension members per file, and ``more`` aggregates."""
     return rows.groupBy(by).agg(
         F.count("*").alias("rows"),
         F.countDistinct("natural_key").alias("natural_keys"),
@@ -97,6 +97,7 @@ def load_profile(rows: DataFrame, by: str = "file_id") -> DataFrame:
         F.countDistinct(
             F.struct("program_norm", "field_norm", "level_norm", "modality_norm")
         ).alias("programs"),
+        *more,
     )
 
 
