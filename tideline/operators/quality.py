@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import ISSUE_PREVIEW
-from ..functions.keys import surrogate_id
+from ..functions.keys import packed_digest, surrogate_id, unpacked_digest
 from ..functions.structured import json_document
-from ..session import checkpointed
+from ..session import stored
 from .filters import missing_text
-from .skew import lookup_join, rows_of_repeated_keys
+from .skew import lookup_join, may_repeat, rows_of_repeated_keys
 
 KEY = ("file_id", "natural_key")
 
@@ -57,7 +57,9 @@ def repeated_rows(rows: DataFrame) -> DataFrame:
 
     Duplicates and conflicts of a key take at least two rows, so no other row matters to them.
     """
-    return checkpointed(duplicate_rows(rows.select(*KEY, "row_num", "row_hash", "status_norm")))
+    packed = packed_digest(F.col("row_hash")).alias("row_hash")
+    found = duplicate_rows(rows.select(*KEY, "row_num", packed, "status_norm"))
+    return stored(found.withColumn("row_hash", unpacked_digest(F.col("row_hash"))))
 
 
 def metrics(
@@ -65,8 +67,9 @@ def metrics(
 ) -> DataFrame:
     """One row per file and metric.
 
-    Row rules are conditional counts of one pass. Key rules count ``repeated_rows``, which may
-    be passed in, per (key, status), then per key, so no key is gathered whole.
+    Row rules are conditional counts of one pass. Key rules count per key, from partial counts of
+    every task, so no key is gathered whole. They read ``repeated_rows`` if passed in, and
+    otherwise the rows that may be such, which need not be singled out or joined back for that.
     """
     marked = _mark_pairs(rows, catalog)
     by_row = marked.groupBy("file_id").agg(
@@ -75,16 +78,18 @@ def metrics(
         F.count_if(F.col("provider").isNull()).alias("missing_NOMBRE_IES"),
         F.count_if(F.col("program").isNull()).alias("missing_NOMBRE_CARRERA"),
     )
-    repeated = repeated_rows(rows) if repeated is None else repeated
-    per_key = (
-        repeated.groupBy(*KEY, "status_norm")
-        .agg(F.count("*").alias("n"))
-        .groupBy(*KEY)
-        .agg(F.sum("n").alias("n"), F.count("status_norm").alias("states"))
+    if repeated is None:
+        # Rows of no file have no key to share.
+        repeated = may_repeat(rows.select(*KEY, "status_norm").na.drop(subset=list(KEY)), KEY)
+    else:
+        repeated = repeated.withColumn("_hash", F.xxhash64(*KEY))
+    per_key = repeated.groupBy("_hash", *KEY).agg(
+        F.count("*").alias("n"), F.min("status_norm").alias("least"),
+        F.max("status_norm").alias("greatest"),
     )
-    by_key = per_key.groupBy("file_id").agg(
+    by_key = per_key.where("n > 1").groupBy("file_id").agg(
         F.sum("n").alias("duplicates_in_file"),
-        F.count_if(F.col("states") > 1).alias("conflicting_estado"),
+        F.count_if(F.col("least") != F.col("greatest")).alias("conflicting_estado"),
     )
     # Both sides have one row per file.
     names = {c: F.lit(0) for c in ("duplicates_in_file", "conflicting_estado")}

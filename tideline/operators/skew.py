@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpointed
+from ..session import checkpointed, stored
 
 SALTS = 64
 HOT_ROWS = 10_000_000
@@ -67,25 +67,31 @@ def _in_map(rows: DataFrame, hashes: DataFrame) -> DataFrame:
     return found.where(hit).drop("_in", "_bucket", "_bits")
 
 
+def may_repeat(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key may occur more than once, with its ``_hash``; few others pass.
+
+    Hashes of the keys are counted first, eight bytes and a number each. The hashes that repeat
+    are broadcast while they are few, beyond that a bit map of them is, so no row travels.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    counts = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
+    often = checkpointed(counts.where("_n > 1").select("_hash"))
+    if fits(often):
+        return hashed.join(F.broadcast(often), "_hash", "left_semi")
+    return _in_map(hashed, often)
+
+
 def rows_of_repeated_keys(df: DataFrame, keys: Sequence[str], row_id: Column) -> DataFrame:
     """Every row whose key occurs more than once, with ``key_rows``, the rows of that key.
 
-    Hashes of the keys are counted first, eight bytes and a number each. Rows whose hash stands
-    alone stay where they are: the hashes that repeat are broadcast while they are few, beyond
-    that a bit map of them is. Only rows that pass travel, and are stored for the exact count.
+    Only rows that pass ``may_repeat`` travel, and are stored for the exact count.
     There rows are counted per (key, salt), so a hot key is spread over ``SALTS`` tasks both in
     the counting and when its rows are joined back; the totals per key see at most ``SALTS``
     partial counts each. ``df`` is read twice.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*keys))
-    counts = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
-    often = checkpointed(counts.where("_n > 1").select("_hash"))
-    if fits(often):
-        passed = hashed.join(F.broadcast(often), "_hash", "left_semi")
-    else:
-        passed = _in_map(hashed, often)
+    passed = may_repeat(df, keys)
     salt = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
-    salted = checkpointed(passed.withColumn("_salt", salt))
+    salted = stored(passed.withColumn("_salt", salt))
     # The hash in front makes the sorts of the join compare numbers instead of long keys.
     keys = ["_hash", *keys]
     parts = salted.groupBy(*keys, "_salt").agg(F.count("*").alias("_n"))
