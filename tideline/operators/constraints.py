@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import RUN_STATES, SERVICE_STATES
@@ -66,6 +67,10 @@ WAREHOUSE_RULES: tuple[Rule, ...] = (
 )
 
 
+#: Values that one task groups.
+TASK_ENTRIES = 1 << 20
+
+
 def _name(rule: Rule) -> str:
     if isinstance(rule, Unique):
         return f"unique({','.join(rule.columns)})"
@@ -108,13 +113,15 @@ def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = WAREHOUSE_RUL
     Every table is scanned once, whatever the number of rules on it. A row gives one entry per
     rule that it has a say in, and one per rule that refers to it; entries are counted per rule
     and value on the map side, so a hot value is one row a task. Referring values meet the
-    values they refer to in the same grouping. Values of references compare as text.
+    values they refer to in the same grouping. Values of references compare as text. The entries
+    are dealt out to as many tasks as their number asks for: hash tables of single values take
+    far more room than the compressed rows by which Spark would put partitions together.
     """
     checked = [r for r in rules if r.table in tables]
     used = list(dict.fromkeys([r.table for r in checked] + [
         r.target for r in checked if isinstance(r, Reference)
     ]))
-    counted = []
+    counted, most = [], 0
     for name in used:
         df = tables[name]
         entries = [_finding(i, r, df) for i, r in enumerate(checked) if r.table == name]
@@ -125,6 +132,7 @@ def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = WAREHOUSE_RUL
                 wanted.setdefault(rule.target_column, []).append(i)
         for column, numbers in wanted.items():
             entries.append(_entry(-1 - numbers[0], F.col(column).cast("string"), True))
+        most += len(entries) * df.count()
         found = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
         values = found.groupBy("e.rule", "e.value", "e.target").agg(F.count("*").alias("n"))
         for column, numbers in wanted.items():
@@ -149,11 +157,30 @@ def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = WAREHOUSE_RUL
     )
     sums = together.groupBy("rule").agg(F.sum(wrong).alias("found"))
     # One row per rule.
-    named = df.sparkSession.createDataFrame(
-        [(i, r.table, _name(r)) for i, r in enumerate(checked)],
-        "rule int, table_name string, rule_name string",
-    )
-    return named.join(F.broadcast(sums), "rule", "left").select(
-        "table_name", F.col("rule_name").alias("rule"),
-        F.coalesce("found", F.lit(0)).alias("violations"),
+    with _tasks_for(df.sparkSession, most):
+        violations = {r["rule"]: r["found"] for r in sums.collect()}
+    return df.sparkSession.createDataFrame(
+        [(r.table, _name(r), violations.get(i) or 0) for i, r in enumerate(checked)],
+        "table_name string, rule string, violations bigint",
     )
+
+
+@contextmanager
+def _tasks_for(spark: SparkSession, entries: int):
+    """Shuffles with no more than about ``TASK_ENTRIES`` of the entries in a task."""
+    if entries <= TASK_ENTRIES:
+        yield
+        return
+    parts = max(spark.sparkContext.defaultParallelism, -(-entries // TASK_ENTRIES))
+    wanted = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
