@@ -6,6 +6,8 @@ import csv
 import re
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from ..contract import (
     DUPLICATE_COLUMNS, HEADER_SCAN, MISSING_TEXTS, REQUIRED, SOURCE_COLUMNS,
 )
-from ..functions.text import column_name, column_name_expr
+from ..functions.text import column_name, column_name_expr, to_ascii
 from ..operators.skew import lookup_join
 from ..session import spread, stored
 
@@ -104,7 +106,11 @@ def _header_cells(
             return cells
     named = F.transform(F.split("value", re.escape(sep)), column_name_expr)
     wanted = F.array(*[F.lit(c) for c in required])
-    lines = spark.read.text(path).where(F.size(F.array_except(wanted, named)) == 0)
+    # Names are made of cells only where a line holds all their words; hardly any other does.
+    folded = F.upper(to_ascii(F.col("value")))
+    words = dict.fromkeys(w for name in required for w in re.findall("[A-Z0-9]+", name))
+    lines = spark.read.text(path).where(reduce(and_, [folded.contains(w) for w in words]))
+    lines = lines.where(F.size(F.array_except(wanted, named)) == 0)
     if line := lines.first():
         return next(csv.reader([line["value"]], delimiter=sep))
     first = preview[0] if preview else []
