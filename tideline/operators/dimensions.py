@@ -114,17 +114,19 @@ def resolve_ids(
     """Adds the three surrogate keys, NULL where a dimension has no such key.
 
     Dimensions are measured and joined as lookups, so rows don't travel while these are small,
-    and a key that many rows have, or lack, doesn't gather in one task beyond that.
+    and a key that many rows have, or lack, doesn't gather in one task beyond that. Programs,
+    which are most, come first: rows that travel for them don't carry the other identifiers yet.
     """
+    added = ["provider_id", "territory_id", "program_id"]
+    order = [*[c for c in rows.columns if c not in added], *added]
+    rows = rows.drop(*added)
     for dim, keys, id_column in (
+        (program, PROGRAM_KEY, "program_id"),
         (provider, PROVIDER_KEY, "provider_id"),
         (territory, TERRITORY_KEY, "territory_id"),
-        (program, PROGRAM_KEY, "program_id"),
     ):
-        order = [*[c for c in rows.columns if c != id_column], id_column]
-        lookup = dim.select(*keys, id_column)
-        rows = lookup_join(rows.drop(id_column), lookup, keys, null_safe=True).select(*order)
-    return rows
+        rows = lookup_join(rows, dim.select(*keys, id_column), keys, null_safe=True)
+    return rows.select(*order)
 
 
 def resolved() -> Column:
