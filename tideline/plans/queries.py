@@ -23,7 +23,7 @@ from ..operators import (
     quality, reshape, summary, territory,
 )
 from ..operators.skew import lookup_join
-from ..session import scratch_dir, spread, stored
+from ..session import checkpointed, scratch_dir, spread, stored
 from ..sinks import reports
 from ..sinks.tables import append_health
 from ..sources import files, geojson, offers, sample
@@ -1034,6 +1034,16 @@ def published_series(spark, sf):
 # Streams -------------------------------------------------------------------------------------
 
 
+def _write_one_file(rows: DataFrame, path: str, order: str) -> None:
+    """Rows in order as one CSV file, without the column that orders them.
+
+    They are joined and sorted in parallel, and stored so; one task then copies the sorted parts
+    in turn and holds none of them.
+    """
+    sorted_ = checkpointed(rows.orderBy(order)).drop(order)
+    sorted_.coalesce(1).write.options(header=True, escape='"').csv(path)
+
+
 @query
 def arrivals_ledger(spark, sf):
     """What the ledger says of files that arrived: one good, one without the required columns,
@@ -1043,9 +1053,7 @@ def arrivals_ledger(spark, sf):
     rows = _spoiled(spark, sf).where(F.col("file_id") == newest).select(
         "row_num", *[F.col(n).alias(p) for p, n in SOURCE_COLUMNS.items()]
     )
-    rows.coalesce(1).sortWithinPartitions("row_num").drop("row_num").write.options(
-        header=True, escape='"'
-    ).csv(f"{base}/landing/offers")
+    _write_one_file(rows, f"{base}/landing/offers", "row_num")
     places = sample.table(spark, sf, "region")
     places.coalesce(1).write.option("header", True).csv(f"{base}/landing/places")
     header = ",".join(REQUIRED)
