@@ -70,6 +70,13 @@ def test_hashes_are_made_after_rows_travel(spark, sample_dir, name):
     assert plan.rindex("sha2") < plan.rindex("Window")
 
 
+def test_versions_without_a_time_have_no_hash(spark):
+    rows = spark.createDataFrame([("k", None), ("l", "")], "natural_key string, row_hash string")
+    rows = rows.withColumn("status_norm", F.lit(None).cast("string"))
+    found = {r["natural_key"]: r["row_hash"] for r in queries._hashed(rows).collect()}
+    assert found["k"] is None and len(found["l"]) == 64
+
+
 def test_merge_does_not_deal_out_the_state_again(spark, sample_dir):
     assert "hashpartitioning(_hash" not in _plan(QUERIES["scd2_merge"](spark, sample_dir))
 
