@@ -156,6 +156,15 @@ def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = WAREHOUSE_RUL
         .otherwise(0)
     )
     sums = together.groupBy("rule").agg(F.sum(wrong).alias("found"))
+    if most <= TASK_ENTRIES:
+        named = df.sparkSession.createDataFrame(
+            [(i, r.table, _name(r)) for i, r in enumerate(checked)],
+            "rule int, table_name string, rule_name string",
+        )
+        return named.join(F.broadcast(sums), "rule", "left").select(
+            "table_name", F.col("rule_name").alias("rule"),
+            F.coalesce("found", F.lit(0)).alias("violations"),
+        )
     # One row per rule.
     with _tasks_for(df.sparkSession, most):
         violations = {r["rule"]: r["found"] for r in sums.collect()}
