@@ -1,11 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tideline.llm.bpe import Transducer, bpe_decode, bpe_encode, bpe_round_trip, codec
+from tideline.llm.bpe import Codec, Transducer, bpe_decode, bpe_encode, bpe_round_trip, codec
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -82,3 +83,17 @@ def test_edges(documents):
     assert bpe_round_trip(documents(), PATH).count() == 0
     with pytest.raises(ValueError):
         codec(PATH).merges.short("一", "")
+
+
+def test_little_is_kept_of_many_runs():
+    model = Codec(PATH)
+    words = [a + b for a in "abcdefghijklmnopqrst" for b in "aeioubcdfghklmnprstw"]
+    for word in words:
+        model.run(word.encode())
+    tracemalloc.start()
+    for one in words:
+        for two in words:
+            model.run(f"{one}-{two}".encode())
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 15 << 20

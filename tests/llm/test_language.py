@@ -1,6 +1,10 @@
 import zlib
 
-from tideline.llm.language import drop_rejected, identify_languages
+import pyarrow as pa
+
+from tideline.llm.language import (
+    SLICE_BYTES, accepted, drop_rejected, fit, identify_languages, ngram_counts,
+)
 
 SAMPLES = {
     "en": "the quick brown fox jumps over the lazy dog while the children are watching it run",
@@ -69,3 +73,13 @@ def test_long_text(documents):
     rows = many() + [(99, SAMPLES["de"] * 5000)]
     found = {r["doc_id"]: r for r in identify_languages(documents(*rows)).collect()}
     assert found[99]["lang_pred"] == "de" and not found[99]["rejected"]
+
+
+def test_large_batches_come_back_in_parts():
+    model = fit({k: [ngram_counts(v)] for k, v in SAMPLES.items()})
+    text = SAMPLES["en"] * (SLICE_BYTES // 2 // len(SAMPLES["en"]))
+    texts = [text, text, None, text, "12", "", text, text]
+    batch = pa.record_batch({"doc_id": pa.array(range(8)), "text": pa.array(texts, pa.string())})
+    found = list(accepted([batch, batch.slice(0, 0), batch.slice(4)], model, 1))
+    assert [i for x in found for i in x.column(0).to_pylist()] == [0, 1, 3, 6, 7, 6, 7]
+    assert all(x.nbytes <= SLICE_BYTES + 1000 for x in found)

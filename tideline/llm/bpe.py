@@ -27,15 +27,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship
+from .common import give_back, ship
 from .tokens import byte_slices, visible_bytes
 from .words import utf8
 
 #: Bytes of text or ids that are worked on at once.
 SLICE_BYTES = 4 << 20
-KNOWN_RUNS = 1_000_000
-KNOWN_WORDS = 400_000
-KNOWN_PAIRS = 400_000
+#: What a Python worker keeps of earlier texts. A run costs most memory and is found again least
+#: often; its words are. All tables together take about 50 MB.
+KNOWN_RUNS = 60_000
+KNOWN_WORDS = 300_000
+KNOWN_PAIRS = 150_000
 RUN_BYTES = 64
 
 #: Lengths of tokens that are tried at every place.
@@ -70,6 +72,8 @@ class Merges:
             start: (*sorted(found, reverse=True), *FEW) for start, found in lengths.items()
         }
         self.pairs: dict[tuple[str | None, str], bool] = {}
+        # Pairs are kept of these strings, not of the slices of texts that they were met as.
+        self._same = {token: token for token in self.parts}
         self._edges: tuple[dict, dict] = ({}, {})
 
     def apply(self, symbols: Iterable[str]) -> list[str]:
@@ -117,7 +121,7 @@ class Merges:
             )
         if len(self.pairs) >= KNOWN_PAIRS:
             self.pairs.clear()
-        self.pairs[before, token] = fits
+        self.pairs[self._same.get(before), self._same[token]] = fits
         return fits
 
     def short(self, symbols: str, suffix: str) -> list[str]:
@@ -238,7 +242,11 @@ class Codec:
         bases = [*self.table.values(), *(c + self.suffix for c in self.table.values())]
         self.merges = Merges(merges, bases)
         # Which characters are letters is for the library to say; on Latin ones it's plain.
-        library = Tokenizer.from_file(path)
+        bare = {"vocab": {}, "merges": []}
+        library = Tokenizer.from_str(
+            json.dumps({**spec, "model": {**model, **bare}, "added_tokens": [],
+                        "post_processor": None, "decoder": None})
+        )
         self.normal = library.normalizer.normalize_str
         self.split = library.pre_tokenizer.pre_tokenize_str
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -356,6 +364,8 @@ def bpe_encode(
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id")[a:b], lists], names=[id_col, "ids"]
                 )
+                del found, ids, lists
+                give_back()
 
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
@@ -391,6 +401,7 @@ def bpe_decode(
                     [batch.column("id")[a:b], lists[a:b], pa.array(texts, pa.string())],
                     names=[id_col, "ids", "decoded"],
                 )
+                give_back()
 
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
@@ -420,5 +431,7 @@ def bpe_round_trip(
                     ],
                     names=[id_col, "ids", "decoded"],
                 )
+                del found
+                give_back()
 
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def give_back() -> None:
+    """Return to the system what Arrow's pool keeps of batches that are gone.
+
+    The pool keeps several times the largest batch, in every worker of an executor, and workers
+    stay when their task is over. Called in a Python worker between slices of its batches.
+    """
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

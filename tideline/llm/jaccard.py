@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import maybe_in, ship
+from .common import give_back, maybe_in, ship
 from .components import components
 from .tokens import byte_slices
 from .words import mixed, utf8, window_hashes, word_hashes
@@ -105,6 +105,7 @@ def _slices(batches, name: str = "text"):
         sizes = [len(x.as_buffer() or b"") if x.is_valid else 0 for x in column]
         for a, b in byte_slices(sizes, SLICE_BYTES):
             yield batch.slice(a, b - a), [*map(utf8, column.slice(a, b - a))]
+            give_back()
 
 
 def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +120,10 @@ def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     shift = np.uint64(_BITS - ranges)
 
     def send(parts):
-        short = np.sort(np.concatenate(parts) >> np.uint64(64 - _BITS))
+        short = np.concatenate(parts)
+        parts.clear()
+        short >>= np.uint64(64 - _BITS)
+        short.sort()
         cuts = np.flatnonzero(np.diff(short >> shift)) + 1
         rows = [(int(x[0] >> shift), *encode_run(x)) for x in np.split(short, cuts)]
         return pa.RecordBatch.from_arrays(
@@ -138,20 +142,27 @@ def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
                 held += len(parts[-1])
                 if held >= RUN_TOKENS:
                     yield send(parts)
-                    parts, held = [], 0
+                    held = 0
         if held:
             yield send(parts)
 
     def count(runs: pa.Table) -> pa.Table:
-        found = [decode_run(*row.values()) for row in runs.drop(["range"]).to_pylist()]
-        tokens = np.concatenate([x for x, _ in found])
-        counts = np.concatenate([x for _, x in found])
-        order = np.argsort(tokens, kind="stable")
-        tokens, counts = tokens[order], counts[order]
-        heads = np.flatnonzero(np.diff(tokens, prepend=np.uint64(1 << 63)))
-        sums = np.add.reduceat(counts, heads)
+        found, often, copies = [], [], []
+        for row in zip(*map(runs.column, ("width", "gaps", "at", "more"))):
+            tokens, counts = decode_run(*(x.as_py() for x in row))
+            found.append(tokens)
+            often.append(tokens[counts > 1])
+            copies.append(counts[counts > 1] - 1)
+        tokens = np.concatenate(found)
+        del found
+        tokens.sort()
+        heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        # How many runs have each, and the further copies within runs, which few have.
+        sums = np.diff(heads, append=len(tokens))
+        tokens = tokens[heads]
+        np.add.at(sums, np.searchsorted(tokens, np.concatenate(often)), np.concatenate(copies))
         some = sums >= LEAST
-        return pa.table({"t": tokens[heads][some].view(np.int64), "n": sums[some]})
+        return pa.table({"t": tokens[some].view(np.int64), "n": sums[some]})
 
     parts = docs.select("text").mapInArrow(run, _RUN)
     counts = parts.groupBy("range").applyInArrow(count, "t bigint, n bigint")
@@ -317,6 +328,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for p, q in zip(x, y)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            give_back()
 
     return both.mapInArrow(run, "a bigint, b bigint")
 
@@ -336,6 +348,7 @@ def _by_signature(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for x, y, n, m, p, q in zip(*columns)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            give_back()
 
     found = both.select("a", "b", "x", "y", "n", "m", "p", "q").mapInArrow(
         run, "a bigint, b bigint"

@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, token
+from .common import give_back, ship, token
+from .tokens import byte_slices
 from .words import mixed
 
 DIMENSION_BITS = 13
@@ -31,6 +32,8 @@ FULL_NGRAMS = 600
 UNKNOWN = "und"
 #: Parts in which the rows of one label are looked through.
 SLICES = 256
+#: Bytes of texts whose rows are filtered, and sent back, at once.
+SLICE_BYTES = 4 << 20
 
 _SIZES = (1, 2, 3)
 _alpha: list[np.ndarray] = []
@@ -193,6 +196,20 @@ def held_out(ids):
     return F.pmod(F.crc32(F.coalesce(ids.cast("string"), F.lit(""))), F.lit(4)) == 2
 
 
+def accepted(batches, centroids: Centroids, place: int):
+    """The rows of Arrow batches whose text, the column ``place``, is not rejected.
+
+    A batch comes back in parts of about ``SLICE_BYTES`` of text, so no second one is held.
+    """
+    for batch in batches:
+        texts = batch.column(place)
+        sizes = [len(x.as_buffer() or b"") if x.is_valid else 0 for x in texts]
+        for a, b in byte_slices(sizes, SLICE_BYTES):
+            good = [not centroids.classify(x.as_py())[2] for x in texts[a:b]]
+            yield batch.slice(a, b - a).filter(pa.array(good, pa.bool_()))
+            give_back()
+
+
 def drop_rejected(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
@@ -205,10 +222,7 @@ def drop_rejected(
     place = docs.columns.index(text_col)
 
     def run(batches):
-        centroids = model.value
-        for batch in batches:
-            good = [not centroids.classify(x.as_py())[2] for x in batch.column(place)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+        yield from accepted(batches, model.value, place)
 
     return docs.mapInArrow(run, docs.schema)
 
