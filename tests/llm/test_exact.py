@@ -3,9 +3,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tideline.llm import exact
-from tideline.llm.exact import exact_dedup, keep_first
+from tideline.llm.exact import exact_dedup, keep_first, names
 
 
 def norm(text):
@@ -69,3 +70,11 @@ def test_blocks_with_one_hash(documents, monkeypatch):
     found = results(exact_dedup(documents(*rows), block_chars=2))
     monkeypatch.undo()
     assert found == brute(rows)
+
+
+def test_names_are_packed(spark):
+    words = F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.hex((F.col("id") * i) % 991))
+    texts = spark.range(2000).select(F.array_join(words, " ").alias("block"))
+    found = names(texts)
+    assert found.select("name").distinct().count() == texts.distinct().count()
+    assert all(".zstd." in file or ".zst." in file for file in found.inputFiles())

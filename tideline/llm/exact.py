@@ -27,9 +27,10 @@ def names(values: DataFrame) -> DataFrame:
 
     Equal rows meet in one task, combined before they travel; there the distinct ones are sorted
     and numbered. A task that is run again sorts the same rows, so it gives the same names.
+    The table holds every text once and stays, so it is packed tightly.
     """
     sorted_ = values.distinct().sortWithinPartitions(*values.columns)
-    return stored(sorted_.withColumn("name", F.monotonically_increasing_id() + 1))
+    return stored(sorted_.withColumn("name", F.monotonically_increasing_id() + 1), "zstd")
 
 
 def block_names(blocks: DataFrame) -> DataFrame:
