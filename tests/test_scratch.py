@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline import session
 from tideline.contract import HEADER_SCAN, REQUIRED
-from tideline.operators import skew
+from tideline.operators import constraints, skew
 from tideline.plans import ingest, queries
 from tideline.plans.warehouse import Warehouse
 from tideline.session import checkpointed, scratch_dir, scratch_scope, stored
@@ -142,8 +142,17 @@ def _shuffled(spark) -> set[str]:
     return {n for n in names if n.startswith("shuffle_")}
 
 
-def test_a_load_leaves_no_shuffles(spark, files, tmp_path):
+def test_scopes_drop_shuffles(spark):
     before = _shuffled(spark)
-    ingest.load_files(spark, str(tmp_path), files[0][:2], files[1])
-    # Checksums and what is read of the ledger before the load shuffle a few rows.
-    assert len(_shuffled(spark) - before) < 20
+    with scratch_scope(spark):
+        assert spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    assert not _shuffled(spark) - before
+
+
+def test_audit_drops_its_shuffles(spark, monkeypatch):
+    monkeypatch.setattr(constraints, "TASK_ENTRIES", 10)
+    tables = {"t": spark.range(100).select((F.col("id") % 90).alias("a"))}
+    before = _shuffled(spark)
+    found = constraints.audit(tables, [constraints.Unique("t", ["a"])]).collect()
+    # One for the count of the rows.
+    assert found[0]["violations"] == 10 and len(_shuffled(spark) - before) <= 2

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import RUN_STATES, SERVICE_STATES
+from ..session import scratch_scope
 
 
 @dataclass(frozen=True)
@@ -165,9 +166,9 @@ def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = WAREHOUSE_RUL
             "table_name", F.col("rule_name").alias("rule"),
             F.coalesce("found", F.lit(0)).alias("violations"),
         )
-    # One row per rule.
-    with _tasks_for(df.sparkSession, most):
-        violations = {r["rule"]: r["found"] for r in sums.collect()}
+    with scratch_scope(df.sparkSession), _tasks_for(df.sparkSession, most):
+        # One row per rule. A frame made in the scope, so that its shuffles go with it.
+        violations = {r["rule"]: r["found"] for r in sums.select("rule", "found").collect()}
     return df.sparkSession.createDataFrame(
         [(r.table, _name(r), violations.get(i) or 0) for i, r in enumerate(checked)],
         "table_name string, rule string, violations bigint",
